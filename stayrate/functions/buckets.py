@@ -96,15 +96,18 @@ BUCKETS: dict[str, Buckets] = {
 }
 
 
-def equal_width_bin(value: Col, low: Column, high: Column, bins: int) -> Column:
-    """Index of the right-closed equal-width bin; the lowest value belongs to bin 0."""
-    width = (high - low) / F.lit(float(bins))
-    raw = F.ceil(F.try_divide(as_col(value) - low, width)) - 1
-    return F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.coalesce(raw, F.lit(0)))).cast("int")
-
+def equal_width_bin(value: Col, low: Column, high: Column, bins: int, closed: str = "right") -> Column:
+    """Index of the equal-width bin; edge ``i`` is ``width * i + low``.
 
-def left_closed_bin(value: Col, low: Column, high: Column, bins: int) -> Column:
-    """Index of the left-closed equal-width bin, the last one closed at both ends."""
+    Division only proposes a bin. Comparing with that bin's own edges then keeps a value that
+    equals an edge on the side that ``closed`` says, whatever the division rounded to.
+    """
+    x = as_col(value)
     width = (high - low) / F.lit(float(bins))
-    raw = F.floor(F.try_divide(as_col(value) - low, width))
-    return F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.coalesce(raw, F.lit(0)))).cast("int")
+    guess = F.least(F.lit(bins - 1.0), F.coalesce(F.floor(F.try_divide(x - low, width)).cast("double"), F.lit(0.0)))
+    left, right = width * guess + low, width * (guess + 1) + low
+    if closed == "right":
+        moved = guess - ((x <= left) & (guess > 0)).cast("int") + ((x > right) & (guess < bins - 1)).cast("int")
+    else:
+        moved = guess - ((x < left) & (guess > 0)).cast("int") + ((x >= right) & (guess < bins - 1)).cast("int")
+    return moved.cast("int")

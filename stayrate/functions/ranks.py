@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayrate.operators.aggregate import unpivot_numbers
+from stayrate.functions.longform import unpivot_numbers
 from stayrate.session import cut_lineage
 
 

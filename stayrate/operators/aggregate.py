@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayrate.functions.buckets import Buckets, equal_width_bin, left_closed_bin
+from stayrate.functions.buckets import Buckets, equal_width_bin
 from stayrate.functions.columns import is_yes, percent, total
+from stayrate.functions.longform import unpivot_numbers, unpivot_strings
+from stayrate.functions.ranks import quantile_columns
 from stayrate.schema import TARGET
 
 def churned() -> Column:
@@ -46,17 +48,6 @@ def by_rate(df: DataFrame, *ties: str, rate: str = "churn_rate") -> DataFrame:
     return df.orderBy(F.desc(rate), *ties)
 
 
-def unpivot_strings(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Long form ``(keep.., column, value)`` with values as text."""
-    texts = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in columns])
-    return texts.unpivot(list(keep), list(columns), "column", "value")
-
-
-def unpivot_numbers(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    numbers = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
-    return numbers.unpivot(list(keep), list(columns), "column", "value")
-
-
 def churn_by_each(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Churn per value of each column: one scan and one shuffle for all of them."""
     return churn_by(
@@ -69,11 +60,11 @@ def churn_by_each(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def with_all_labels(df: DataFrame, key: str, labels: Sequence[str], counts: Sequence[str]) -> DataFrame:
     """Keep a row for every label, with zero counts where no row had it.
 
-    The label list is a literal of the code, so the joined side has a fixed size.
+    ``df`` is an aggregated report with a row per bucket or category; the labels are literals.
     """
-    spark = df.sparkSession
-    order = spark.createDataFrame([(i, v) for i, v in enumerate(labels)], f"_rank int, {key} string")
-    joined = F.broadcast(order).join(df, key, "left")
+    one = df.sparkSession.range(1, numPartitions=1)
+    order = one.select(F.posexplode(F.array(*[F.lit(v) for v in labels])).alias("_rank", key))
+    joined = order.join(F.broadcast(df), key, "left")
     return joined.select(
         key,
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in counts else F.col(c) for c in df.columns if c != key],
@@ -89,33 +80,39 @@ def bucket_report(df: DataFrame, buckets: Buckets, key: str, digits: int = 1) ->
 
 
 def share(df: DataFrame, value: str, output: str, digits: int = 2) -> DataFrame:
-    """Percent of the grand total. For aggregated rows: the total is a one-row subquery."""
-    grand = df.agg(F.sum(value)).scalar()
-    return df.withColumn(output, percent(F.col(value), grand, digits))
+    """Percent of the grand total, for aggregated rows.
+
+    The window runs over one row per category, so its single partition stays as small as the
+    report, and the input is read once.
+    """
+    whole = F.sum(value).over(Window.partitionBy(F.lit(0)))
+    return df.withColumn(output, percent(F.col(value), whole, digits))
 
 
-def extent(df: DataFrame, column: str) -> tuple[Column, Column]:
-    """Minimum and maximum as one scalar subquery, reused for both fields."""
-    row = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
-    return row["lo"].cast("double"), row["hi"].cast("double")
+def extents(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[Column, Column]]:
+    """Minimum and maximum of each column, from one scalar subquery."""
+    fields = [
+        f(c).cast("double").alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max))
+    ]
+    row = df.agg(F.struct(*fields)).scalar()
+    return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
 
 
 def charge_bins(df: DataFrame, column: str = "MonthlyCharges", bins: int = 5) -> DataFrame:
     """Equal-width bins over the observed range, with label, count and churn percent."""
-    low, high = extent(df, column)
+    low, high = extents(df, [column])[column]
     grouped = churn_by(
         df.select(TARGET, equal_width_bin(column, low, high, bins).alias("bin")), ["bin"], digits=1
     )
     spark = df.sparkSession
-    every = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    every = spark.range(bins, numPartitions=1).select(F.col("id").cast("int").alias("bin"))
     width = (high - low) / F.lit(float(bins))
     # The lowest label starts a thousandth of the range early so that it holds the minimum.
     left = F.when(F.col("bin") == 0, low - (high - low) * 0.001).otherwise(low + width * F.col("bin"))
     right = low + width * (F.col("bin") + 1)
     text = [F.round(c, 2).cast("decimal(18,2)").cast("string") for c in (left, right)]
     return (
-        F.broadcast(every)
-        .join(grouped, "bin", "left")
+        every.join(F.broadcast(grouped), "bin", "left")
         .orderBy("bin")
         .select(
             F.concat_ws("-", *text).alias("range"),
@@ -125,19 +122,37 @@ def charge_bins(df: DataFrame, column: str = "MonthlyCharges", bins: int = 5) ->
     )
 
 
-def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """Histogram counts by churn over equal-width bins of the observed range."""
-    low, high = extent(df, column)
+def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
+    """Counts by churn over equal-width bins of each column's observed range, in one pass."""
+    ranges = extents(df, columns)
+    binned = df.select(
+        TARGET, *[equal_width_bin(c, *ranges[c], bins, closed="left").alias(c) for c in columns]
+    )
     return (
-        df.select(TARGET, left_closed_bin(column, low, high, bins).alias("bin"))
-        .groupBy("bin", TARGET)
+        binned.unpivot([TARGET], list(columns), "column", "bin")
+        .groupBy("column", "bin", TARGET)
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.lit(column).alias("column"),
-            "bin",
-            TARGET,
-            F.round(low + (high - low) / F.lit(float(bins)) * F.col("bin"), 4).alias("left_edge"),
-            "n",
+    )
+
+
+def box_numbers(df: DataFrame, columns: Sequence[str], by: str = TARGET) -> DataFrame:
+    """Box-plot numbers per column and group: quartiles, whiskers, and points beyond them."""
+    quartiles = quantile_columns(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
+    reach = (F.col("q3") - F.col("q1")) * 1.5
+    inside = (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
+    # One quartile row per column and group: broadcast, so the long rows are not shuffled twice.
+    return (
+        unpivot_numbers(df, columns, [by])
+        .where(F.col("value").isNotNull())
+        .join(F.broadcast(quartiles), [by, "column"])
+        .groupBy("column", by)
+        .agg(
+            F.first("q1").alias("q1"),
+            F.first("median").alias("median"),
+            F.first("q3").alias("q3"),
+            F.min(F.when(inside, F.col("value"))).alias("lower_whisker"),
+            F.max(F.when(inside, F.col("value"))).alias("upper_whisker"),
+            F.count_if(~inside).alias("outliers"),
         )
     )
 

@@ -14,8 +14,8 @@ from stayrate.operators.aggregate import (
     churn_by_each,
     churn_rate,
     churned,
-    crosstab,
     retained,
+    share,
     with_all_labels,
 )
 from stayrate.operators.cleaning import keep_nonblank
@@ -296,7 +296,7 @@ def sp_revenue(t: Inputs):
   round(count(*) * 100.0 / (SELECT count(*) FROM subscribers), 2) AS percent FROM subscribers GROUP BY Churn""")
 def sp_distribution(t: Inputs):
     grouped = t.subscribers.groupBy(TARGET).agg(F.count(F.lit(1)).alias("customers"))
-    return grouped.withColumn("percent", percent(F.col("customers"), grouped.agg(F.sum("customers")).scalar()))
+    return share(grouped, "customers", "percent")
 
 
 # --- set operations, sorts and limits over the same reports -------------------------------
