@@ -39,7 +39,8 @@ def running_totals(
     per_slice = sliced.groupBy(*keys, "_slice").agg(*[F.sum(n).alias(f"_sum_{n}") for n in names])
     whole = Window.partitionBy(*(keys or [F.lit(0)]))
     before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per slice and key: as many as there are shuffle partitions.
+    # A row per key and slice. The join is left to the planner: joining by shuffle already
+    # leaves the rows partitioned as the last window needs them.
     offsets = per_slice.select(
         *keys,
         "_slice",
@@ -47,7 +48,7 @@ def running_totals(
         *[F.sum(f"_sum_{n}").over(whole).alias(f"all_{n}") for n in names],
     )
     within = Window.partitionBy(*keys, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return sliced.join(F.broadcast(offsets), [*keys, "_slice"]).select(
+    return sliced.join(offsets, [*keys, "_slice"]).select(
         *keys,
         value,
         *names,

@@ -1,0 +1,27 @@
+"""Size checks in front of anything that is broadcast or brought to the driver."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 1_000_000
+DRIVER_ROWS = 100_000
+
+
+class TooLarge(ValueError):
+    """A result that must be small is not."""
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint when a count proves the frame small; otherwise the frame unchanged, so
+    that the join shuffles and AQE splits its hot keys."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def small_rows(df: DataFrame, what: str, max_rows: int = DRIVER_ROWS) -> list:
+    """Rows of a result that must be small, or an error; never a truncated result."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise TooLarge(f"{what}: more than {max_rows} rows")
+    return rows

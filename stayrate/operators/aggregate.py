@@ -60,11 +60,12 @@ def churn_by_each(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def with_all_labels(df: DataFrame, key: str, labels: Sequence[str], counts: Sequence[str]) -> DataFrame:
     """Keep a row for every label, with zero counts where no row had it.
 
-    ``df`` is an aggregated report with a row per bucket or category; the labels are literals.
+    ``df`` is aggregated by ``key``, so at most one row per literal label is broadcast.
     """
     one = df.sparkSession.range(1, numPartitions=1)
     order = one.select(F.posexplode(F.array(*[F.lit(v) for v in labels])).alias("_rank", key))
-    joined = order.join(F.broadcast(df), key, "left")
+    known = df.where(F.col(key).isin(list(labels)))
+    joined = order.join(F.broadcast(known), key, "left")
     return joined.select(
         key,
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) if c in counts else F.col(c) for c in df.columns if c != key],
@@ -135,12 +136,15 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     )
 
 
-def box_numbers(df: DataFrame, columns: Sequence[str], by: str = TARGET) -> DataFrame:
+def box_numbers(
+    df: DataFrame, columns: Sequence[str], by: str = TARGET, levels: Sequence[str] = ("No", "Yes")
+) -> DataFrame:
     """Box-plot numbers per column and group: quartiles, whiskers, and points beyond them."""
+    df = df.where(F.col(by).isin(list(levels)))
     quartiles = quantile_columns(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (F.col("value") >= F.col("q1") - reach) & (F.col("value") <= F.col("q3") + reach)
-    # One quartile row per column and group: broadcast, so the long rows are not shuffled twice.
+    # len(columns) * len(levels) quartile rows: broadcast, so no group's rows meet in one task.
     return (
         unpivot_numbers(df, columns, [by])
         .where(F.col("value").isNotNull())
