@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["sql_reports", "table_reports", "quality", "features"]
+MODULES = ["sql_reports", "table_reports", "quality", "features", "encoding"]
 
 
 def load_all():
