@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["sql_reports", "table_reports", "quality", "features", "encoding", "statistics", "scoring"]
+MODULES = ["sql_reports", "table_reports", "quality", "features", "encoding", "statistics", "scoring", "io", "streams"]
 
 
 def load_all():
