@@ -19,32 +19,44 @@ def to_event_fields(df: DataFrame) -> DataFrame:
     )
 
 
-def known(column: str, default: object) -> Column:
-    """The field, or its default where the message has none; a JSON NaN counts as none."""
-    value = F.col(column)
+def field(names: dict[str, str] | None, name: str) -> Column:
+    """An event field; ``names`` maps fields to the columns of a table that is no event table."""
+    return F.col((names or {}).get(name, name))
+
+
+def known(value: Column, default: object) -> Column:
+    """The value, or its default where there is none; a JSON NaN counts as none."""
     if isinstance(default, float):
         value = F.nanvl(value, F.lit(None).cast("double"))
     return F.coalesce(value, F.lit(default))
 
 
-def risk_points() -> Column:
-    """Risk points of an event, 0 to 10."""
-    return add_up(
-        [
-            flag(F.col("contract") == "Month-to-month") * 2,
-            flag(known("tenure", 0) < 12) * 2,
-            flag(F.col("internet_service") == "Fiber optic"),
-            flag(F.col("online_security") == "No"),
-            flag(F.col("tech_support") == "No"),
-            flag(F.col("paperless_billing") == "Yes"),
-            flag(known("payment_method", "").contains("Electronic")),
-            flag(known("monthly_charges", 0.0) > 70),
-        ]
-    )
+def signals(names: dict[str, str] | None = None) -> dict[str, Column]:
+    """The 0/1 risk signals of an event."""
+
+    def at(name: str) -> Column:
+        return field(names, name)
 
+    return {
+        "contract_monthly": flag(at("contract") == "Month-to-month"),
+        "new_customer": flag(known(at("tenure"), 0) < 12),
+        "internet_fiber": flag(at("internet_service") == "Fiber optic"),
+        "online_security_no": flag(at("online_security") == "No"),
+        "tech_support_no": flag(at("tech_support") == "No"),
+        "paperless_billing": flag(at("paperless_billing") == "Yes"),
+        "payment_electronic": flag(known(at("payment_method"), "").contains("Electronic")),
+        "high_charges": flag(known(at("monthly_charges"), 0.0) > 70),
+    }
 
-def risk_score(max_points: float = 10.0) -> Column:
-    return F.least(risk_points() / F.lit(max_points), F.lit(1.0))
+
+# Signals that count more than one point.
+DOUBLE_POINTS = ("contract_monthly", "new_customer")
+
+
+def risk_score(names: dict[str, str] | None = None, max_points: float = 10.0) -> Column:
+    """Risk points of the signals over their maximum, at most 1."""
+    points = [s * 2 if n in DOUBLE_POINTS else s for n, s in signals(names).items()]
+    return F.least(add_up(points) / F.lit(max_points), F.lit(1.0))
 
 
 def risk_category(
@@ -86,19 +98,19 @@ def score_events(events: DataFrame, predicted_at: str | None = None) -> DataFram
 
 def event_features(events: DataFrame) -> DataFrame:
     """The ten numeric features of an event, with defaults for absent fields."""
-    return events.select(
-        "customer_id",
-        known("senior_citizen", 0).cast("double").alias("senior_citizen"),
-        known("tenure", 0).cast("double").alias("tenure"),
-        known("monthly_charges", 0.0).alias("monthly_charges"),
-        known("total_charges", 0.0).alias("total_charges"),
-        flag(F.col("contract") == "Month-to-month").cast("double").alias("contract_monthly"),
-        flag(F.col("internet_service") == "Fiber optic").cast("double").alias("internet_fiber"),
-        flag(F.col("online_security") == "No").cast("double").alias("online_security_no"),
-        flag(F.col("tech_support") == "No").cast("double").alias("tech_support_no"),
-        flag(F.col("paperless_billing") == "Yes").cast("double").alias("paperless_billing"),
-        flag(known("payment_method", "").contains("Electronic")).cast("double").alias("payment_electronic"),
-    )
+    numbers = {
+        "senior_citizen": known(F.col("senior_citizen"), 0),
+        "tenure": known(F.col("tenure"), 0),
+        "monthly_charges": known(F.col("monthly_charges"), 0.0),
+        "total_charges": known(F.col("total_charges"), 0.0),
+    }
+    flags = signals()
+    names = [
+        "contract_monthly", "internet_fiber", "online_security_no", "tech_support_no",
+        "paperless_billing", "payment_electronic",
+    ]
+    columns = {**numbers, **{n: flags[n] for n in names}}
+    return events.select("customer_id", *[c.cast("double").alias(n) for n, c in columns.items()])
 
 
 def prediction_summary(predictions: DataFrame, category: str = "risk_category", label: str = "prediction") -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["sql_reports", "table_reports", "quality", "features", "encoding", "statistics", "scoring", "io", "streams"]
+MODULES = [
+    "sql_reports", "table_reports", "quality", "features", "encoding", "statistics", "scoring", "io", "streams", "models",
+]
 
 
 def load_all():

@@ -103,8 +103,7 @@ def metrics(t: Inputs):
 FROM (SELECT *, {POINTS_SQL} AS p FROM subscribers)""")
 def predictions(t: Inputs):
     """Input columns with the prediction beside them: added by expression, never joined."""
-    named = t.subscribers.withColumns({k: F.col(v) for k, v in EVENT_FIELDS.items() if k not in t.subscribers.columns})
-    scored = named.withColumn("churn_probability", scoring.risk_score()).select(
+    scored = t.subscribers.withColumn("churn_probability", scoring.risk_score(EVENT_FIELDS)).select(
         *SUBSCRIBER.names,
         F.when(F.col("churn_probability") >= 0.5, 1).otherwise(0).alias("predicted_churn"),
         F.when(F.col("churn_probability") >= 0.5, "Churn").otherwise("No Churn").alias("prediction_label"),

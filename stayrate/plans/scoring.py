@@ -67,16 +67,10 @@ def run_log(t: Inputs):
 
 def judged(t: Inputs):
     """Truth, prediction and score per subscriber."""
-    named = labelled_events(t)
-    return named.select("customer_id", "y", scoring.risk_score().alias("score")).withColumn(
-        "yhat", F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    scored = t.subscribers.select(
+        "customerID", is_yes("Churn").alias("y"), scoring.risk_score(EVENT_FIELDS).alias("score")
     )
-
-
-def labelled_events(t: Inputs):
-    """Event fields plus the 0/1 truth."""
-    names = [F.col(source).alias(name) for name, source in EVENT_FIELDS.items()]
-    return t.subscribers.select(*names, is_yes("Churn").alias("y"))
+    return scored.withColumn("yhat", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
 CELLS = """cells AS (SELECT count(*) FILTER (WHERE y = 0 AND yhat = 0) AS tn, count(*) FILTER (WHERE y = 0 AND yhat = 1) AS fp,
@@ -178,12 +172,12 @@ compared AS (SELECT model, {BASIC}, roc_auc FROM cells JOIN (SELECT model, {AUC_
 
 def candidates(t: Inputs):
     """Four scores per subscriber, read in one pass and put in long form."""
-    wide = labelled_events(t).select(
-        "y",
-        scoring.risk_score().alias("rules"),
-        F.when(F.col("contract") == "Month-to-month", 1.0).otherwise(0.0).alias("contract"),
+    wide = t.subscribers.select(
+        is_yes("Churn").alias("y"),
+        scoring.risk_score(EVENT_FIELDS).alias("rules"),
+        F.when(F.col("Contract") == "Month-to-month", 1.0).otherwise(0.0).alias("contract"),
         ((F.lit(72) - F.col("tenure")) / F.lit(72.0)).alias("tenure"),
-        ((F.col("monthly_charges") - F.lit(18.25)) / F.lit(100.5)).alias("charges"),
+        ((F.col("MonthlyCharges") - F.lit(18.25)) / F.lit(100.5)).alias("charges"),
     )
     long = wide.unpivot(["y"], ["rules", *CANDIDATES], "model", "score")
     return long.withColumn("yhat", F.when(F.col("score") >= 0.5, 1).otherwise(0))

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stayrate.operators.splitting import split_random
 from stayrate.plans.registry import Inputs, query
 from stayrate.plans.scoring import PREDICTED, STAMP
 from stayrate.schema import EVENT_TYPE, MODEL_VERSION, PREDICTION
@@ -23,17 +24,13 @@ EVENTS_SQL = f"""SELECT customerID AS customer_id, gender, SeniorCitizen AS seni
   PaymentMethod AS payment_method, MonthlyCharges AS monthly_charges,
   TRY_CAST(trim(TotalCharges) AS DOUBLE) AS total_charges, 'evt_' || customerID || '_1706659200000' AS event_id,
   '{STAMP}' AS event_timestamp, '{EVENT_TYPE}' AS event_type FROM subscribers"""
-FILES = 8
 
 
-def publish(t: Inputs, folder: str | None = None, part: int | None = None) -> str:
-    """Write every subscriber as a JSON message line; ``part`` selects one half of them."""
+def publish(t: Inputs, folder: str | None = None, rows=None) -> str:
+    """Write subscribers, by default all of them, as JSON message lines."""
     folder = folder or shared_path(t.spark, "messages")
-    rows = t.subscribers
-    if part is not None:
-        rows = rows.where(F.pmod(F.xxhash64("customerID"), F.lit(2)) == part)
-    messages = to_messages(to_events(rows, STAMP))
-    messages.select("value").repartition(FILES).write.mode("append").text(folder)
+    messages = to_messages(to_events(rows if rows is not None else t.subscribers, STAMP))
+    messages.select("value").write.mode("append").text(folder)
     return folder
 
 
@@ -93,9 +90,9 @@ def scored(t: Inputs):
 
 @query("stm_bounded", PREDICTIONS_SQL)
 def bounded(t: Inputs):
-    """The same in several micro-batches of a few files, stopping when all is read."""
+    """The same in micro-batches of one file each, stopping when all is read."""
     sink = shared_path(t.spark, "predictions")
-    score(t, publish(t), sink, shared_path(t.spark, "checkpoint"), max_files=3)
+    score(t, publish(t), sink, shared_path(t.spark, "checkpoint"), max_files=1)
     return read_predictions(t, sink)
 
 
@@ -103,9 +100,10 @@ def bounded(t: Inputs):
 def delivery(t: Inputs):
     """Half the messages, a stop, the other half, and a restart on the same checkpoint."""
     sink, checkpoint = shared_path(t.spark, "predictions"), shared_path(t.spark, "checkpoint")
-    folder = publish(t, part=0)
+    halves = split_random(t.subscribers, 0.5)
+    folder = publish(t, rows=halves.where("split = 'train'"))
     score(t, folder, sink, checkpoint)
-    publish(t, folder, part=1)
+    publish(t, folder, halves.where("split = 'test'"))
     score(t, folder, sink, checkpoint)
     score(t, folder, sink, checkpoint)
     return read_predictions(t, sink)
@@ -115,7 +113,7 @@ def delivery(t: Inputs):
   round(count(*) FILTER (WHERE risk_category = 'High') * 100.0 / greatest(count(*), 1), 2) AS high_risk_percentage FROM predicted""")
 def statistics(t: Inputs):
     sink = shared_path(t.spark, "statistics")
-    messages = stream_messages(t.spark, publish(t), max_files=3)
+    messages = stream_messages(t.spark, publish(t), max_files=1)
     run(jobs.start_statistics(messages, sink, shared_path(t.spark, "checkpoint")))
     return jobs.final_statistics(t.spark, sink)
 
