@@ -91,12 +91,9 @@ def share(df: DataFrame, value: str, output: str, digits: int = 2) -> DataFrame:
 
 
 def extents(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[Column, Column]]:
-    """Minimum and maximum of each column, from one scalar subquery."""
-    fields = [
-        f(c).cast("double").alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max))
-    ]
-    row = df.agg(F.struct(*fields)).scalar()
-    return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
+    """Minimum and maximum of each column: one aggregation, one row to the driver."""
+    row = df.agg(*[F.struct(F.min(c).cast("double"), F.max(c).cast("double")).alias(c) for c in columns]).head()
+    return {c: (F.lit(row[c][0]), F.lit(row[c][1])) for c in columns}
 
 
 def charge_bins(df: DataFrame, column: str = "MonthlyCharges", bins: int = 5) -> DataFrame:

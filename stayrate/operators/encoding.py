@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
@@ -102,57 +103,56 @@ def fill_constant(df: DataFrame, columns: Sequence[str], value: str = "missing")
     return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(value)) for c in columns})
 
 
-def medians(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Exact medians as one scalar subquery struct, a field per column."""
-    long = exact_quantiles(df, columns, [0.5])
-    return long.agg(
-        F.struct(*[F.max(F.when(F.col("column") == c, F.col("quantile"))).alias(c) for c in columns])
-    ).scalar()
+def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+    """Exact median per column; a column without values has none."""
+    return {r["column"]: r["quantile"] for r in exact_quantiles(df, columns, [0.5]).collect()}
 
 
-def impute_median(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
-    row = medians(fit_on if fit_on is not None else df, columns)
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), row[c]) for c in columns})
+def impute_median(df: DataFrame, columns: Sequence[str], fitted: Mapping[str, float] | None = None) -> DataFrame:
+    fitted = fitted if fitted is not None else medians(df, columns)
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(fitted.get(c))) for c in columns})
 
 
-def fit_moments(df: DataFrame, columns: Sequence[str], sample: bool = False) -> Column:
-    """Mean, deviation, minimum and maximum of each column in one scalar subquery."""
+@dataclass(frozen=True)
+class Moments:
+    mean: float | None
+    std: float | None
+    low: float | None
+    high: float | None
+
+
+def fit_moments(df: DataFrame, columns: Sequence[str], sample: bool = False) -> dict[str, Moments]:
+    """Mean, deviation, minimum and maximum of each column: one aggregation, one row."""
     deviation = F.stddev_samp if sample else F.stddev_pop
-    fields = []
+    exprs = []
     for c in columns:
         value = F.col(f"`{c}`").cast("double")
-        fields.append(
-            F.struct(
-                F.avg(value).alias("mean"), deviation(value).alias("std"), F.min(value).alias("lo"), F.max(value).alias("hi")
-            ).alias(c)
-        )
-    return df.agg(F.struct(*fields)).scalar()
+        exprs.append(F.struct(F.avg(value), deviation(value), F.min(value), F.max(value)).alias(c))
+    row = df.agg(*exprs).head()
+    return {c: Moments(*row[c]) for c in columns}
+
+
+def _rescale(column: str, shift: float | None, width: float | None) -> Column:
+    """``(x - shift) / width``; a column of one value becomes 0."""
+    x = F.col(column)
+    return F.coalesce(F.try_divide(x - F.lit(shift), F.lit(width)), F.when(x.isNotNull(), 0.0))
 
 
 def scale_standard(
-    df: DataFrame, columns: Sequence[str], sample: bool = False, fit_on: DataFrame | None = None
+    df: DataFrame, columns: Sequence[str], sample: bool = False, fitted: Mapping[str, Moments] | None = None
 ) -> DataFrame:
-    """Centre and divide by the deviation (population unless ``sample``); a constant column is 0."""
-    row = fit_moments(fit_on if fit_on is not None else df, columns, sample)
-    return df.withColumns(
-        {
-            c: F.coalesce(
-                F.try_divide(F.col(c) - row[c]["mean"], row[c]["std"]), F.when(F.col(c).isNotNull(), 0.0)
-            )
-            for c in columns
-        }
-    )
+    """Centre and divide by the deviation (population unless ``sample``)."""
+    fitted = fitted or fit_moments(df, columns, sample)
+    return df.withColumns({c: _rescale(c, fitted[c].mean, fitted[c].std) for c in columns})
 
 
-def scale_minmax(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
-    """Map the observed range to 0..1; a constant column is 0."""
-    row = fit_moments(fit_on if fit_on is not None else df, columns)
+def scale_minmax(df: DataFrame, columns: Sequence[str], fitted: Mapping[str, Moments] | None = None) -> DataFrame:
+    """Map the observed range to 0..1."""
+    fitted = fitted or fit_moments(df, columns)
     return df.withColumns(
         {
-            c: F.coalesce(
-                F.try_divide(F.col(c) - row[c]["lo"], row[c]["hi"] - row[c]["lo"]), F.when(F.col(c).isNotNull(), 0.0)
-            )
-            for c in columns
+            c: _rescale(c, m.low, None if m.low is None or m.high is None else m.high - m.low)
+            for c, m in ((c, fitted[c]) for c in columns)
         }
     )
 
@@ -188,8 +188,9 @@ def preprocess(df: DataFrame, id_column: str, fit_on: DataFrame | None = None) -
     """
     base = fit_on if fit_on is not None else df
     levels = fit_levels(fill_constant(base, PP_NOMINAL), PP_NOMINAL)
-    imputed = impute_median(df, PP_NUMERIC, fit_on=base)
-    scaled = scale_standard(imputed, PP_NUMERIC, fit_on=impute_median(base, PP_NUMERIC))
+    middle = medians(base, PP_NUMERIC)
+    moments = fit_moments(impute_median(base, PP_NUMERIC, middle), PP_NUMERIC)
+    scaled = scale_standard(impute_median(df, PP_NUMERIC, middle), PP_NUMERIC, fitted=moments)
     return scaled.select(
         id_column,
         *PP_NUMERIC,

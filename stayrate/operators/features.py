@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stayrate.functions.buckets import BUCKETS
 from stayrate.functions.columns import add_up, as_col, flag, has_any, is_yes, recode, to_number
-from stayrate.functions.ranks import exact_quantiles
+from stayrate.operators.encoding import medians
 from stayrate.schema import PREMIUM, SERVICES, STREAMING
 
 # Risk maps.
@@ -49,9 +49,8 @@ def charge_difference() -> Column:
 
 
 def above_median(df: DataFrame, column: str = "MonthlyCharges") -> Column:
-    """1 above the exact median of ``df``, as a one-row scalar subquery."""
-    median = exact_quantiles(df, [column], [0.5]).agg(F.max("quantile")).scalar()
-    return flag(F.col(column) > median)
+    """1 above the exact median of ``df``."""
+    return flag(F.col(column) > F.lit(medians(df, [column]).get(column)))
 
 
 def high_value(limit: float = 70) -> Column:

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayrate.functions.sizes import broadcast_if_small
+from stayrate.functions.columns import recode
+from stayrate.functions.sizes import small_rows
 from stayrate.schema import ID, TARGET
 
 SEED = 42
@@ -31,13 +32,17 @@ def split_stratified(
     seed: int = SEED,
     digits: int = 3,
 ) -> DataFrame:
-    """Exactly ``round(test_size * n)`` rows of every label are test: those of lowest hash.
+    """``round(test_size * n)`` rows of every label are test: those of lowest hash.
 
-    A window over each label would sort a third of all rows in one task. Instead rows are counted
-    per label and hash prefix; prefixes wholly below the quota are test, those above it train, and
-    only the one prefix per label that straddles the quota is ranked.
+    Ranking a whole label would sort a third of all rows or more in one task. Instead rows are
+    counted per label and hash prefix, which tells the one prefix per label where the quota is
+    reached; only the rows of that prefix are ranked, to find the last hash that is still test.
+    Marking the rows is then a comparison with a literal: no shuffle and no join. Rows that share
+    an id stay on one side.
     """
-    hashed = df.withColumn("_hash", id_hash(id_column, seed)).withColumn("_prefix", F.substring("_hash", 1, digits))
+    hashed = df.select(label, id_column, id_hash(id_column, seed).alias("_hash")).withColumn(
+        "_prefix", F.substring("_hash", 1, digits)
+    )
     counts = hashed.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy(label)
     running = counts.select(
@@ -47,26 +52,29 @@ def split_stratified(
         F.sum("n").over(whole.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
         F.round(F.sum("n").over(whole) * F.lit(test_size)).cast("long").alias("quota"),
     )
-    # One row per label: the first prefix that passes the quota, and the rows it still owes.
-    past = running.where(F.col("upto") > F.col("quota"))
-    first = F.min(F.struct("_prefix", (F.col("quota") - F.col("upto") + F.col("n")).alias("owed")))
-    edge = past.groupBy(label).agg(first.alias("e")).select(
-        label, F.col("e._prefix").alias("_edge"), F.col("e.owed").alias("_owed")
-    )
-    marked = hashed.join(broadcast_if_small(edge), label, "left")
-    at_edge = F.col("_prefix") == F.col("_edge")
-    settled = marked.where(~F.coalesce(at_edge, F.lit(False))).withColumn(
-        "split",
-        F.when(F.col("_edge").isNull() | (F.col("_prefix") < F.col("_edge")), "test").otherwise("train"),
+    # The prefix that reaches the quota, and how many of its rows are test.
+    edges = small_rows(
+        running.where((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota"))).select(
+            F.col(label).alias("label"), "_prefix", (F.col("quota") - F.col("upto") + F.col("n")).alias("owed")
+        ),
+        "labels",
+        max_rows=10_000,
     )
-    rank = F.row_number().over(Window.partitionBy(label, "_prefix").orderBy("_hash", id_column))
-    ranked = (
-        marked.where(at_edge)
-        .withColumn("_rank", rank)
-        .withColumn("split", F.when(F.col("_rank") <= F.col("_owed"), "test").otherwise("train"))
-    )
-    columns = [*[F.col(f"`{c}`") for c in df.columns], "split"]
-    return settled.select(*columns).unionByName(ranked.select(*columns))
+    if not edges:
+        return df.withColumn("split", F.lit("train"))
+    at_edge = F.lit(False)
+    owed = None
+    for edge in edges:
+        same = F.col(label).eqNullSafe(F.lit(edge["label"])) & (F.col("_prefix") == edge["_prefix"])
+        at_edge = at_edge | same
+        owed = F.when(same, edge["owed"]) if owed is None else owed.when(same, edge["owed"])
+    order = Window.partitionBy(label, "_prefix").orderBy("_hash", id_column)
+    last = hashed.where(at_edge).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") == owed)
+    is_test = F.lit(False)
+    for row in last.collect():  # one row per label
+        upto = id_hash(id_column, seed) <= row["_hash"]
+        is_test = is_test | (F.col(label).eqNullSafe(F.lit(row[label])) & upto)
+    return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
 
 
 def split_report(df: DataFrame, label: str = TARGET) -> DataFrame:
@@ -88,5 +96,6 @@ def class_weights(df: DataFrame, label: str = TARGET) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = TARGET, output: str = "weight") -> DataFrame:
-    weights = class_weights(df, label).select(label, F.col("weight").alias(output))
-    return df.join(broadcast_if_small(weights), label, "left")
+    """The weight of each row's class, as a literal per class."""
+    weights = {r[label]: r["weight"] for r in small_rows(class_weights(df, label), "classes", max_rows=10_000)}
+    return df.withColumn(output, recode(label, weights))

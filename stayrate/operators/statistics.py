@@ -10,12 +10,13 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayrate.functions.columns import add_up, flag, is_yes
+from stayrate.functions.columns import add_up, flag, is_yes, recode
 from stayrate.functions.longform import unpivot_numbers, unpivot_strings
-from stayrate.functions.ranks import exact_quantiles
+from stayrate.functions.ranks import quantile_columns
 from stayrate.functions.special import tail
 from stayrate.operators.encoding import fit_moments
 from stayrate.schema import NUMERIC, TARGET
+from stayrate.session import cut_lineage
 
 
 def chi_square(df: DataFrame, columns: Sequence[str], label: str = TARGET) -> DataFrame:
@@ -24,7 +25,8 @@ def chi_square(df: DataFrame, columns: Sequence[str], label: str = TARGET) -> Da
     A 2x2 table gets the continuity correction. One scan and one shuffle of category counts for
     all columns; the totals joined back are one row per tested column.
     """
-    cells = (
+    # A row per category level: stored, because both the totals and the cells read it.
+    cells = cut_lineage(
         unpivot_strings(df, columns, [label])
         .where(F.col("value").isNotNull() & F.col(label).isNotNull())
         .groupBy("column", "value")
@@ -98,33 +100,26 @@ def correlation_with(df: DataFrame, columns: Sequence[str], target: str) -> Data
 
 def z_outliers(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC), limit: float = 3.0) -> DataFrame:
     """Rows with any population z-score beyond the limit."""
-    row = fit_moments(df, columns)
+    moments = fit_moments(df, columns)
     beyond = F.lit(False)
     for c in columns:
-        z = F.try_divide(F.col(c) - row[c]["mean"], row[c]["std"])
+        z = F.try_divide(F.col(c) - F.lit(moments[c].mean), F.lit(moments[c].std))
         beyond = beyond | F.coalesce(F.abs(z) > limit, F.lit(False))
     return df.where(beyond)
 
 
-def fences(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> dict[str, tuple[Column, Column]]:
-    """Lower and upper outlier fence per column, from exact quartiles in one scalar subquery."""
-    long = exact_quantiles(df, columns, [0.25, 0.75])
-
-    def pick(c: str, p: float) -> Column:
-        return F.max(F.when((F.col("column") == c) & (F.col("probability") == p), F.col("quantile")))
-
-    fields = [pick(c, p).alias(f"{c}_{name}") for c in columns for name, p in (("lo", 0.25), ("hi", 0.75))]
-    row = long.agg(F.struct(*fields)).scalar()
+def fences(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> dict[str, tuple[float, float]]:
+    """Lower and upper outlier fence per column, from its exact quartiles."""
     out = {}
-    for c in columns:
-        q1, q3 = row[f"{c}_lo"], row[f"{c}_hi"]
-        out[c] = (q1 - (q3 - q1) * reach, q3 + (q3 - q1) * reach)
+    for row in quantile_columns(df, columns, {"q1": 0.25, "q3": 0.75}).collect():
+        span = (row["q3"] - row["q1"]) * reach
+        out[row["column"]] = (row["q1"] - span, row["q3"] + span)
     return out
 
 
 def iqr_masks(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC), reach: float = 1.5) -> dict[str, Column]:
     limits = fences(df, columns, reach)
-    return {c: flag((F.col(c) < lo) | (F.col(c) > hi)) for c, (lo, hi) in limits.items()}
+    return {c: flag((F.col(c) < limits[c][0]) | (F.col(c) > limits[c][1])) for c in columns if c in limits}
 
 
 def iqr_report(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC), reach: float = 1.5) -> DataFrame:
@@ -167,16 +162,19 @@ def density(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC), points: int
                 F.min(x).alias("lo"), F.max(x).alias("hi"), width.alias("width"), F.count(x).alias("n")
             ).alias(c)
         )
-    params = df.agg(F.struct(*fields)).scalar()
-    chosen = F.lit(None)
-    for c in columns:
-        chosen = F.when(F.col("column") == c, params[c]).otherwise(chosen)
-    start = F.col("p.lo") - F.col("p.width") * cut
-    step = (F.col("p.hi") - F.col("p.lo") + F.col("p.width") * (2 * cut)) / F.lit(float(points - 1))
-    spread = values.withColumn("p", chosen).select(
-        "column", "value", "n", "p", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
+    params = df.agg(*fields).head()
+
+    def per_column(pick) -> Column:
+        return recode("column", {c: pick(params[c]) for c in columns})
+
+    width = per_column(lambda p: p["width"])
+    start = per_column(lambda p: p["lo"] - p["width"] * cut)
+    step = per_column(lambda p: (p["hi"] - p["lo"] + p["width"] * (2 * cut)) / (points - 1))
+    scale = per_column(lambda p: p["n"] * p["width"] * math.sqrt(2 * math.pi))
+    spread = values.withColumns({"start": start, "step": step, "width": width, "scale": scale}).select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     )
-    at = start + step * F.col("point")
-    u = (at - F.col("value")) / F.col("p.width")
-    kernel = F.col("n") * F.exp(u * u * -0.5) / (F.col("p.n") * F.col("p.width") * math.sqrt(2 * math.pi))
+    at = F.col("start") + F.col("step") * F.col("point")
+    u = (at - F.col("value")) / F.col("width")
+    kernel = F.col("n") * F.exp(u * u * -0.5) / F.col("scale")
     return spread.groupBy("column", "point").agg(F.first(at).alias("x"), F.sum(kernel).alias("density"))

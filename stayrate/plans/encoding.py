@@ -54,13 +54,13 @@ def binary(t: Inputs):
 
 @query("enc_dummies", f"SELECT customerID, {dummies_sql(MULTI, 1)} FROM subscribers")
 def dummies(t: Inputs):
-    return encoding.dummies(t.subscribers.select("customerID", *MULTI), MULTI)
+    return encoding.dummies(t.stored_subscribers("customerID", *MULTI), MULTI)
 
 
 @query("enc_onehot_full", f"SELECT customerID, {dummies_sql(['gender', *MULTI], 0)} FROM subscribers")
 def onehot(t: Inputs):
     columns = ["gender", *MULTI]
-    return encoding.onehot_full(t.subscribers.select("customerID", *columns), columns)
+    return encoding.onehot_full(t.stored_subscribers("customerID", *columns), columns)
 
 
 def code_sql(column: str, offset: int = 0) -> str:
@@ -70,20 +70,20 @@ def code_sql(column: str, offset: int = 0) -> str:
 
 @query("enc_label", f"SELECT customerID, {', '.join(code_sql(c) for c in CATEGORICAL)} FROM subscribers")
 def label(t: Inputs):
-    return encoding.label_encode(t.subscribers.select("customerID", *CATEGORICAL), CATEGORICAL)
+    return encoding.label_encode(t.stored_subscribers("customerID", *CATEGORICAL), CATEGORICAL)
 
 
 @query("src_csv_factor", f"SELECT customerID, {', '.join(code_sql(c, 1) for c in MULTI)} FROM subscribers")
 def factor(t: Inputs):
     """Factor codes count from one."""
-    return encoding.label_encode(t.subscribers.select("customerID", *MULTI), MULTI, offset=1)
+    return encoding.label_encode(t.stored_subscribers("customerID", *MULTI), MULTI, offset=1)
 
 
 @query("win_label_code", " UNION ALL ".join(
     f"""SELECT customerID, '{c}' AS "column", CAST({c} AS VARCHAR) AS value,
   CAST(dense_rank() OVER (ORDER BY CAST({c} AS VARCHAR)) - 1 AS INTEGER) AS code FROM subscribers""" for c in CATEGORICAL))
 def codes(t: Inputs):
-    return encoding.attach_codes(t.subscribers, CATEGORICAL, "customerID")
+    return encoding.attach_codes(t.stored_subscribers("customerID", *CATEGORICAL), CATEGORICAL, "customerID")
 
 
 @query("enc_ordinal", """SELECT customerID, CASE Contract WHEN 'Month-to-month' THEN 0 WHEN 'One year' THEN 1
@@ -110,7 +110,7 @@ TYPED = "typed AS (SELECT * REPLACE (TRY_CAST(trim(TotalCharges) AS DOUBLE) AS T
 @query("imp_median", f"""WITH {TYPED} SELECT customerID, {', '.join(
     f'round(coalesce({c}::DOUBLE, (SELECT quantile_cont({c}::DOUBLE, 0.5) FROM typed)), 6) AS {c}' for c in NUMERIC)} FROM typed""")
 def median(t: Inputs):
-    filled = encoding.impute_median(numeric_totals(t.subscribers), NUMERIC)
+    filled = encoding.impute_median(numeric_totals(t.stored_subscribers("customerID", *NUMERIC)), NUMERIC)
     return filled.select("customerID", *[F.round(c, 6).alias(c) for c in NUMERIC])
 
 
@@ -130,17 +130,17 @@ def rounded(df):
 
 @query("scl_standard", scaled_sql("({c} - (SELECT avg({c}) FROM clean)) / (SELECT stddev_pop({c}) FROM clean)"))
 def standard(t: Inputs):
-    return rounded(encoding.scale_standard(t.clean, NUMERIC))
+    return rounded(encoding.scale_standard(t.stored_clean("customerID", *NUMERIC), NUMERIC))
 
 
 @query("scl_standard_sample", scaled_sql("({c} - (SELECT avg({c}) FROM clean)) / (SELECT stddev_samp({c}) FROM clean)"))
 def standard_sample(t: Inputs):
-    return rounded(encoding.scale_standard(t.clean, NUMERIC, sample=True))
+    return rounded(encoding.scale_standard(t.stored_clean("customerID", *NUMERIC), NUMERIC, sample=True))
 
 
 @query("scl_minmax", scaled_sql("({c} - (SELECT min({c}) FROM clean)) / (SELECT max({c}) - min({c}) FROM clean)::DOUBLE"))
 def minmax(t: Inputs):
-    return rounded(encoding.scale_minmax(t.clean, NUMERIC))
+    return rounded(encoding.scale_minmax(t.stored_clean("customerID", *NUMERIC), NUMERIC))
 
 
 # --- the preprocessing step: three branches in one projection -------------------------------
@@ -175,7 +175,7 @@ def pp_sql(drop=()) -> str:
 
 
 def preprocessed(t: Inputs):
-    adopted = adoption_recode(t.clean).withColumn("tenure", BUCKETS["nb2"].expr())
+    adopted = adoption_recode(t.stored_clean()).withColumn("tenure", BUCKETS["nb2"].expr())
     encoded = encoding.preprocess(adopted, "customerID")
     return encoded.withColumns({c: F.round(c, 6) for c in encoding.PP_NUMERIC})
 
@@ -205,13 +205,13 @@ def random_split(t: Inputs):
 
 @query("win_strat", f"WITH {STRATIFIED} SELECT customerID, Churn, split FROM stratified")
 def stratified(t: Inputs):
-    return splitting.split_stratified(t.subscribers.select("customerID", "Churn"))
+    return splitting.split_stratified(t.stored_subscribers("customerID", "Churn"))
 
 
 @query("spl_strat", f"""WITH {STRATIFIED} SELECT split, count(*) AS rows, count(*) FILTER (WHERE Churn = 'Yes') AS churned,
   round(avg(CASE WHEN Churn = 'Yes' THEN 100.0::DOUBLE ELSE 0.0::DOUBLE END), 2) AS churn_rate FROM stratified GROUP BY split""")
 def stratified_report(t: Inputs):
-    return splitting.split_report(splitting.split_stratified(t.subscribers.select("customerID", "Churn")))
+    return splitting.split_report(splitting.split_stratified(t.stored_subscribers("customerID", "Churn")))
 
 
 @query("bal_weights", """SELECT Churn, count(*) AS n, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
@@ -226,8 +226,9 @@ def weights(t: Inputs):
 @query("jn_concat_cols", """SELECT customerID, tenure, (tenure > 48)::INT AS is_loyal, (Churn = 'Yes')::INT AS label FROM subscribers""")
 def concat_columns(t: Inputs):
     """Columns computed apart, put together on the id."""
-    features = t.subscribers.select("customerID", "tenure", F.when(F.col("tenure") > 48, 1).otherwise(0).alias("is_loyal"))
-    label = t.subscribers.select("customerID", F.when(F.col("Churn") == "Yes", 1).otherwise(0).alias("label"))
+    rows = t.stored_subscribers("customerID", "tenure", "Churn")
+    features = rows.select("customerID", "tenure", F.when(F.col("tenure") > 48, 1).otherwise(0).alias("is_loyal"))
+    label = rows.select("customerID", F.when(F.col("Churn") == "Yes", 1).otherwise(0).alias("label"))
     return features.join(label, "customerID")
 
 
@@ -235,7 +236,7 @@ def concat_columns(t: Inputs):
 UNION ALL SELECT customerID, 'test' FROM subscribers WHERE {RANDOM_SQL} = 'test'""")
 def partition_rows(t: Inputs):
     """Training rows by a list of ids, test rows as its complement."""
-    rows = t.subscribers.select("customerID")
+    rows = t.stored_subscribers("customerID")
     train_ids = splitting.split_random(rows).where("split = 'train'").select("customerID")
     train = rows.join(train_ids, "customerID", "left_semi").withColumn("part", F.lit("train"))
     test = rows.join(train_ids, "customerID", "left_anti").withColumn("part", F.lit("test"))

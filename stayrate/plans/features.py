@@ -29,8 +29,9 @@ for _name in BUCKETS:
 @query("bkt_width", f"""SELECT customerID, MonthlyCharges, {bin_sql('MonthlyCharges', 8, '>')} AS bucket
 FROM subscribers, (SELECT min(MonthlyCharges) AS lo, max(MonthlyCharges) AS hi FROM subscribers)""")
 def width_bucket(t: Inputs, bins: int = 8):
-    low, high = extents(t.subscribers, ["MonthlyCharges"])["MonthlyCharges"]
-    return t.subscribers.select(
+    rows = t.stored_subscribers("customerID", "MonthlyCharges")
+    low, high = extents(rows, ["MonthlyCharges"])["MonthlyCharges"]
+    return rows.select(
         "customerID", "MonthlyCharges", equal_width_bin("MonthlyCharges", low, high, bins).alias("bucket")
     )
 
@@ -90,8 +91,14 @@ register(
     "subscribers",
 )
 register("fe_charge_diff", "TotalCharges - MonthlyCharges * tenure AS charges_difference", lambda df: {"charges_difference": fe.charge_difference()})
-register("fe_high_median", f"MonthlyCharges, {MEDIAN_SQL} AS is_high_value",
-         lambda df: {"MonthlyCharges": F.col("MonthlyCharges"), "is_high_value": fe.above_median(df)})
+
+
+@query("fe_high_median", f"SELECT customerID, MonthlyCharges, {MEDIAN_SQL} AS is_high_value FROM clean")
+def high_median(t: Inputs):
+    rows = t.stored_clean("customerID", "MonthlyCharges")
+    return rows.withColumn("is_high_value", fe.above_median(rows))
+
+
 register("fe_high_70", "CASE WHEN MonthlyCharges > 70 THEN 'Yes' ELSE 'No' END AS high_value_customer",
          lambda df: {"high_value_customer": fe.high_value()})
 register(
@@ -135,14 +142,14 @@ def per_service(t: Inputs):
 
 @query("fe_all", f"""SELECT *, {TENURE_SQL}, {FINANCE_SQL}, {SERVICE_SQL}, {CONTRACT_SQL}, {PEOPLE_SQL} FROM clean""")
 def every_feature(t: Inputs):
-    return fe.all_features(t.clean)
+    return fe.all_features(t.stored_clean())
 
 
 @query("fe_all_batch", f"""SELECT *, {bucket_sql('dp')} AS tenure_bucket, {bucket_sql('chg_dp')} AS charges_bucket,
   {count_sql()} AS service_count, TotalCharges / (tenure + 1) AS avg_charges_per_month, {MEDIAN_SQL} AS high_value,
   {RISK_SQL} AS contract_risk FROM clean""")
 def batch_features(t: Inputs):
-    return fe.batch_features(t.clean)
+    return fe.batch_features(t.stored_clean())
 
 
 @query("fe_all_spark", f"""SELECT *, {bucket_sql('spark4')} AS tenure_bucket,

@@ -54,7 +54,7 @@ def snk_csv(t: Inputs):
 def split_runs(t: Inputs) -> str:
     """Two runs of one dataset: a random split, then the stratified one."""
     path = shared_path(t.spark, "runs")
-    rows = t.subscribers.select(ID, "tenure", "MonthlyCharges", "Churn")
+    rows = t.stored_subscribers(ID, "tenure", "MonthlyCharges", "Churn")
     sinks.write_run(splitting.split_random(rows), path, RUNS[0])
     sinks.write_run(splitting.split_stratified(rows), path, RUNS[1])
     return path
@@ -69,7 +69,7 @@ def latest(t: Inputs):
   count(*) FILTER (WHERE Churn = 'Yes') AS churned FROM stratified GROUP BY split""")
 def split_run(t: Inputs):
     path = shared_path(t.spark, "runs")
-    sinks.write_run(splitting.split_stratified(t.subscribers), path, RUNS[1])
+    sinks.write_run(splitting.split_stratified(t.stored_subscribers()), path, RUNS[1])
     return readers.latest_run(t.spark, path).groupBy("run_ts", "split").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("Churn") == "Yes").alias("churned")
     )
@@ -79,7 +79,7 @@ def split_run(t: Inputs):
   count(*) FILTER (WHERE split = 'test') AS test_rows, 21 AS n_features FROM stratified""")
 def metadata(t: Inputs):
     path = shared_path(t.spark, "metadata")
-    sinks.write_metadata(splitting.split_stratified(t.subscribers), path, RUNS[1], SUBSCRIBER.names)
+    sinks.write_metadata(splitting.split_stratified(t.stored_subscribers(ID, "Churn")), path, RUNS[1], SUBSCRIBER.names)
     return readers.read_metadata(t.spark, path).withColumn("n_features", F.size("features")).drop("features")
 
 
@@ -122,7 +122,7 @@ UNION ALL SELECT 'internet_service', count(DISTINCT InternetService), count(*) F
 UNION ALL SELECT 'monthly_charges_bins', 5, count(*) FROM subscribers""")
 def dashboard(t: Inputs):
     """All six exports written, then counted from their files."""
-    rows = dashboard_rows(t)
+    rows = dashboard_rows(t.stored_subscribers())
     reports = {
         "churn_distribution": (x_distribution(rows), "value"),
         "contract_distribution": (x_by(rows, "Contract", "contract"), "total_customers"),

@@ -19,19 +19,18 @@ from stayrate.operators.splitting import split_random, split_stratified
 from stayrate.plans.encoding import RANDOM_SQL, STRATIFIED
 from stayrate.plans.registry import Inputs, query
 from stayrate.schema import CATEGORICAL, ID, NUMERIC
-from stayrate.session import cut_lineage, shared_path
+from stayrate.session import cut_lineage, shared_path, store
 from stayrate.sources import readers, sinks
 
 
 def model_rows(t: Inputs):
     """Train and test rows with ``features`` and ``label``. The encoder is fitted on the training
-    rows alone; both sides are checkpointed once, as every fit reads them many times."""
-    split = cut_lineage(split_stratified(t.clean))
+    rows alone; the vectors are stored once, as every fit reads them many times."""
+    split = split_stratified(t.stored_clean())
     train = split.where("split = 'train'")
     fitted = vectors.fit_vectors(train)
-    rows = cut_lineage(
-        vectors.apply_vectors(fitted, split).select(ID, "split", "label", F.col("scaled_features").alias("features"))
-    )
+    encoded = vectors.apply_vectors(fitted, split)
+    rows = store(encoded.select(ID, "split", "label", F.col("scaled_features").alias("features")), "vectors")
     return rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split")
 
 
@@ -94,7 +93,7 @@ def train_all(t: Inputs):
 
 @query("ml_importance")
 def importance(t: Inputs):
-    split = split_stratified(t.clean).where("split = 'train'")
+    split = split_stratified(t.stored_clean()).where("split = 'train'")
     fitted = vectors.fit_vectors(split)
     rows = cut_lineage(vectors.apply_vectors(fitted, split).select("features", "label"))
     model = models.train("decision_tree", rows)
@@ -112,14 +111,16 @@ def assemble(t: Inputs):
 @query("enc_onehot_vec")
 def onehot_vectors(t: Inputs):
     columns = ["Contract", "PaymentMethod", "InternetService"]
-    out = Pipeline(stages=vectors.onehot_stages(columns)).fit(t.subscribers).transform(t.subscribers)
+    rows = t.stored_subscribers(ID, *columns)
+    out = Pipeline(stages=vectors.onehot_stages(columns)).fit(rows).transform(rows)
     return out.select(ID, *[vector_to_array(f"{c}_encoded").alias(c) for c in columns])
 
 
 @query("vec_full")
 def full_vectors(t: Inputs):
     """Index, encode, assemble and scale, fitted on all rows."""
-    out = vectors.apply_vectors(vectors.fit_vectors(t.clean), t.clean)
+    rows = t.stored_clean()
+    out = vectors.apply_vectors(vectors.fit_vectors(rows), rows)
     return out.select(ID, "label", vector_to_array("scaled_features").alias("features"))
 
 
@@ -167,29 +168,30 @@ def stored_model(t: Inputs):
 # --- clusters -------------------------------------------------------------------------------
 
 RESTARTS = 25
+CLUSTERED = [ID, *NUMERIC, "Churn"]
 
 
 @query("ml_kmeans")
 def kmeans(t: Inputs):
-    rows = clusters.scaled_vectors(t.clean)
+    rows = clusters.scaled_vectors(t.stored_clean(*CLUSTERED))
     return clusters.assign_clusters(clusters.fit_clusters(rows, restarts=RESTARTS), rows).select(ID, "cluster")
 
 
 @query("agg_cluster_profile")
 def profile(t: Inputs):
-    rows = clusters.scaled_vectors(t.clean, sample=True)
+    rows = clusters.scaled_vectors(t.stored_clean(*CLUSTERED), sample=True)
     model = clusters.fit_clusters(rows, restarts=RESTARTS)
     return clusters.cluster_profile(clusters.assign_clusters(model, rows))
 
 
 @query("ml_elbow")
 def elbow(t: Inputs):
-    return clusters.elbow(clusters.scaled_vectors(t.clean, sample=True))
+    return clusters.elbow(clusters.scaled_vectors(t.stored_clean(*CLUSTERED), sample=True))
 
 
 @query("ml_pca2")
 def plane(t: Inputs):
-    return clusters.plane(clusters.scaled_vectors(t.clean, sample=True))
+    return clusters.plane(clusters.scaled_vectors(t.stored_clean(*CLUSTERED), sample=True))
 
 
 # --- neighbours -----------------------------------------------------------------------------
@@ -202,7 +204,7 @@ SELECT qid, rid, round(dist, 6) AS dist, CAST(row_number() OVER (PARTITION BY qi
 FROM d QUALIFY row_number() OVER (PARTITION BY qid ORDER BY dist, rid) <= 5""")
 def neighbours(t: Inputs, k: int = 5):
     """Nearest customers by tenure and charge, in hundredths."""
-    points = t.subscribers.select(
+    points = t.stored_subscribers(ID, "tenure", "MonthlyCharges").select(
         F.col(ID).alias("rid"),
         F.array(F.col("tenure") * 100.0, F.round(F.col("MonthlyCharges") * 100)).alias("x"),
     )
@@ -247,7 +249,7 @@ tot AS (SELECT customerID, Churn,
 SELECT customerID, (Churn = 'Yes')::INT AS y, (1 / (1 + exp(l0 - l1)) > 0.5)::INT AS yhat, round(1 / (1 + exp(l0 - l1)), 6) AS score
 FROM tot""")
 def bayes(t: Inputs):
-    split = cut_lineage(split_stratified(t.clean))
+    split = split_stratified(t.stored_clean())
     model = fit_bayes(split.where("split = 'train'"), NUMERIC, CATEGORICAL)
     scored = model.score(split.where("split = 'test'"))
     return scored.select(ID, is_yes("Churn").alias("y"), "yhat", F.round("score", 6).alias("score"))
@@ -259,18 +261,19 @@ def bayes(t: Inputs):
 def encoded_split(t: Inputs):
     """Selected encoded features as an array, the label, and a random split; encoders and scaler
     are fitted on the training rows."""
-    adopted = cut_lineage(split_random(adoption_recode(t.clean).withColumn("tenure", BUCKETS["nb2"].expr())))
+    adopted = split_random(adoption_recode(t.stored_clean()).withColumn("tenure", BUCKETS["nb2"].expr()))
     train = adopted.where("split = 'train'")
     encoded = encoding.select_features(encoding.preprocess(adopted, ID, fit_on=train))
     names = [c for c in encoded.columns if c not in (ID, "Churn")]
     x = F.array(*[F.col(f"`{c}`").cast("double") for c in names])
+    # The side is a hash of the id, so it can be told again from the encoded row.
     rows = encoded.select(F.col(ID).alias("id"), x.alias("x"), F.col("Churn").alias("y"))
-    return rows.join(adopted.select(F.col(ID).alias("id"), "split"), "id")
+    return split_random(rows, id_column="id")
 
 
 def balanced(t: Inputs):
     """All rows of the unbalanced and the balanced variant; the test side is the same in both."""
-    rows = cut_lineage(encoded_split(t))
+    rows = store(encoded_split(t), "encoded")
     train = rows.where("split = 'train'").drop("split")
     plain = rows.select("id", "x", "y", F.lit(False).alias("synthetic"), "split", F.lit("imbalanced").alias("balance"))
     grown = smote(train).select("id", "x", "y", "synthetic", F.lit("train").alias("split"), F.lit("balanced").alias("balance"))
@@ -313,7 +316,7 @@ def read_splits(t: Inputs):
 @query("ev_balance_compare")
 def balance_compare(t: Inputs):
     """One model trained on unbalanced and on balanced rows, judged on the same test rows."""
-    rows = cut_lineage(balanced(t).select("balance", "split", array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label")))
+    rows = store(balanced(t).select("balance", "split", array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label")), "balanced")
     test = rows.where("split = 'test' AND balance = 'imbalanced'")
     parts = []
     for variant in ("imbalanced", "balanced"):

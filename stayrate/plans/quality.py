@@ -107,7 +107,7 @@ def numeric(t: Inputs):
   round(quantile_cont({c}::DOUBLE, 0.5), 4) AS p50, round(quantile_cont({c}::DOUBLE, 0.75), 4) AS p75 FROM clean"""
     for c in NUMERIC))
 def describe(t: Inputs):
-    return quality.describe(t.clean)
+    return quality.describe(t.stored_clean(*NUMERIC))
 
 
 @query("prof_schema", """SELECT CAST(row_number() OVER () AS INTEGER) AS ordinal, column_name,

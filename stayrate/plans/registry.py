@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stayrate.operators.cleaning import drop_blank_totals
 from stayrate.plans.base_sql import with_base
+from stayrate.session import store
 from stayrate.sources.subscribers import load_subscribers, read_table
 
 
@@ -30,6 +31,15 @@ class Inputs:
     def clean(self) -> DataFrame:
         return drop_blank_totals(self.subscribers)
 
+    # The two below are for queries of several passes: the joins behind the view run once, and
+    # only for the columns asked for.
+
+    def stored_subscribers(self, *columns: str) -> DataFrame:
+        return store(self.subscribers.select(*(columns or ["*"])), "subscribers")
+
+    def stored_clean(self, *columns: str) -> DataFrame:
+        return store(self.clean.select(*(columns or ["*"])), "clean")
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

@@ -9,6 +9,7 @@ from stayrate.operators import evaluation as ev
 from stayrate.operators import scoring
 from stayrate.plans.registry import Inputs, query
 from stayrate.schema import EVENT_FIELDS, MODEL_VERSION
+from stayrate.session import store
 
 STAMP = "2024-01-31T00:00:00+00:00"
 
@@ -153,7 +154,7 @@ SELECT 'Accuracy' AS "Metric", accuracy AS "Value" FROM b UNION ALL SELECT 'Prec
 UNION ALL SELECT 'Recall', recall FROM b UNION ALL SELECT 'F1-Score', f1_score FROM b
 UNION ALL SELECT 'Specificity', specificity FROM b UNION ALL SELECT 'ROC-AUC', {AUC_SQL} FROM cum""")
 def summary(t: Inputs):
-    return ev.summary(judged(t))
+    return ev.summary(store(judged(t), "judged"))
 
 
 CANDIDATES = {
@@ -171,14 +172,15 @@ compared AS (SELECT model, {BASIC}, roc_auc FROM cells JOIN (SELECT model, {AUC_
 
 
 def candidates(t: Inputs):
-    """Four scores per subscriber, read in one pass and put in long form."""
-    wide = t.subscribers.select(
+    """Four scores per subscriber, computed in one pass and put in long form."""
+    scores = t.subscribers.select(
         is_yes("Churn").alias("y"),
         scoring.risk_score(EVENT_FIELDS).alias("rules"),
         F.when(F.col("Contract") == "Month-to-month", 1.0).otherwise(0.0).alias("contract"),
         ((F.lit(72) - F.col("tenure")) / F.lit(72.0)).alias("tenure"),
         ((F.col("MonthlyCharges") - F.lit(18.25)) / F.lit(100.5)).alias("charges"),
     )
+    wide = store(scores, "scores")  # both the confusion counts and the ranking read it
     long = wide.unpivot(["y"], ["rules", *CANDIDATES], "model", "score")
     return long.withColumn("yhat", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 

@@ -307,11 +307,13 @@ FROM subscribers GROUP BY Contract
 UNION ALL SELECT 'PaymentMethod', PaymentMethod, count(*), {CHURNED} FROM subscribers GROUP BY PaymentMethod
 UNION ALL SELECT 'InternetService', InternetService, count(*), {CHURNED} FROM subscribers GROUP BY InternetService""")
 def union_of_reports(t: Inputs):
+    columns = ("Contract", "PaymentMethod", "InternetService")
+    rows = t.stored_subscribers(*columns, TARGET)
     parts = [
-        t.subscribers.groupBy(F.lit(c).alias("dimension"), F.col(c).alias("level")).agg(
+        rows.groupBy(F.lit(c).alias("dimension"), F.col(c).alias("level")).agg(
             F.count(F.lit(1)).alias("customers"), churned().alias("churned")
         )
-        for c in ("Contract", "PaymentMethod", "InternetService")
+        for c in columns
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

@@ -59,7 +59,7 @@ CODED_SQL = """coded AS (SELECT tenure, MonthlyCharges, TotalCharges, SeniorCiti
 @query("st_corr", f"WITH {CODED_SQL} " + " UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM coded" for a in CORR for b in CORR))
 def correlations(t: Inputs):
-    coded = t.clean.withColumns(
+    coded = t.stored_clean(*NUMERIC, "SeniorCitizen", "Contract", "Churn").withColumns(
         {"contract_code": ordinal("Contract", LEVELS["Contract"]), "churn_flag": is_yes("Churn")}
     )
     return st.correlation_matrix(coded, CORR).withColumn("r", F.round("r", 6))
@@ -81,13 +81,13 @@ def z_sql(limit) -> str:
 
 @query("st_zout", z_sql(3))
 def z_outliers(t: Inputs):
-    return st.z_outliers(t.clean).select("customerID", *NUMERIC)
+    return st.z_outliers(t.stored_clean("customerID", *NUMERIC)).select("customerID", *NUMERIC)
 
 
 @query("st_zout_2", z_sql(2))
 def z_outliers_2(t: Inputs):
     """A closer limit, which these tables do pass."""
-    return st.z_outliers(t.clean, limit=2.0).select("customerID", *NUMERIC)
+    return st.z_outliers(t.stored_clean("customerID", *NUMERIC), limit=2.0).select("customerID", *NUMERIC)
 
 
 def mask_sql(c: str, reach) -> str:
@@ -103,13 +103,13 @@ def iqr_sql(reach) -> str:
 
 @query("st_iqr", iqr_sql(1.5))
 def iqr(t: Inputs):
-    return st.iqr_report(t.clean)
+    return st.iqr_report(t.stored_clean(*NUMERIC))
 
 
 @query("st_iqr_near", iqr_sql(0.25))
 def iqr_near(t: Inputs):
     """Closer fences, which these tables do pass."""
-    return st.iqr_report(t.clean, reach=0.25)
+    return st.iqr_report(t.stored_clean(*NUMERIC), reach=0.25)
 
 
 def multi_sql(reach) -> str:
@@ -119,12 +119,12 @@ WHERE {' + '.join(mask_sql(c, reach) for c in NUMERIC)} = 2"""
 
 @query("st_iqr_multi", multi_sql(1.5))
 def iqr_multi(t: Inputs):
-    return st.iqr_multi(t.clean).select("customerID", "outlier_count")
+    return st.iqr_multi(t.stored_clean("customerID", *NUMERIC)).select("customerID", "outlier_count")
 
 
 @query("st_iqr_multi_near", multi_sql(0.25))
 def iqr_multi_near(t: Inputs):
-    return st.iqr_multi(t.clean, reach=0.25).select("customerID", "outlier_count")
+    return st.iqr_multi(t.stored_clean("customerID", *NUMERIC), reach=0.25).select("customerID", "outlier_count")
 
 
 def kde_sql(c: str) -> str:
@@ -138,4 +138,4 @@ def kde_sql(c: str) -> str:
 
 @query("st_kde", " UNION ALL ".join(kde_sql(c) for c in NUMERIC))
 def kde(t: Inputs):
-    return st.density(t.clean).withColumns({"x": F.round("x", 4), "density": F.round("density", 8)})
+    return st.density(t.stored_clean(*NUMERIC)).withColumns({"x": F.round("x", 4), "density": F.round("density", 8)})

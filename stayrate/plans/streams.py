@@ -9,7 +9,7 @@ from stayrate.operators.splitting import split_random
 from stayrate.plans.registry import Inputs, query
 from stayrate.plans.scoring import PREDICTED, STAMP
 from stayrate.schema import EVENT_TYPE, MODEL_VERSION, PREDICTION
-from stayrate.session import shared_path
+from stayrate.session import shared_path, store
 from stayrate.sources.readers import stream_messages
 from stayrate.streaming import jobs
 from stayrate.streaming.messages import dead_letters, events_of, parse, sample_events, to_events, to_messages
@@ -58,7 +58,7 @@ def events(t: Inputs):
 @query("stm_sample")
 def sample(t: Inputs, n: int = 100):
     """A seeded draw of ``n`` customers with replacement, as events."""
-    return to_events(sample_events(t.subscribers, n), STAMP)
+    return to_events(sample_events(t.stored_subscribers(), n), STAMP)
 
 
 # Every row's message, cut short on the wire when its id ends in 7.
@@ -72,7 +72,7 @@ BROKEN = "customerID LIKE '%7'"
 def parsed(t: Inputs):
     messages = to_messages(to_events(t.subscribers, STAMP))
     cut = F.when(F.col("key").like("%7"), F.expr("substring(value, 1, length(value) div 2)")).otherwise(F.col("value"))
-    both = parse(messages.withColumn("value", cut))
+    both = parse(store(messages.select("key", cut.alias("value")), "messages"))
     fields = ["customer_id", "tenure", "monthly_charges", "total_charges"]
     good = events_of(both).select(*fields, F.lit("event").alias("status"))
     bad = dead_letters(both).select(
@@ -100,7 +100,7 @@ def bounded(t: Inputs):
 def delivery(t: Inputs):
     """Half the messages, a stop, the other half, and a restart on the same checkpoint."""
     sink, checkpoint = shared_path(t.spark, "predictions"), shared_path(t.spark, "checkpoint")
-    halves = split_random(t.subscribers, 0.5)
+    halves = split_random(t.stored_subscribers(), 0.5)
     folder = publish(t, rows=halves.where("split = 'train'"))
     score(t, folder, sink, checkpoint)
     publish(t, folder, halves.where("split = 'test'"))

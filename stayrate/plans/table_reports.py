@@ -174,9 +174,9 @@ COLOURS = {"Retained": "#4ecdc4", "Churned": "#ff6b6b"}
 SERVICE_COLOURS = (("Fiber", "#ff6b6b"), ("DSL", "#4ecdc4"), (None, "#ffd93d"))
 
 
-def dashboard_rows(t: Inputs):
+def dashboard_rows(df):
     """Charges and tenure filled, churn label normalised to Yes/No."""
-    return churn_flag(fill_charges(t.subscribers)).withColumn(
+    return churn_flag(fill_charges(df)).withColumn(
         TARGET, F.when(F.col("ChurnFlag") == 1, "Yes").otherwise("No")
     )
 
@@ -209,7 +209,7 @@ def x_tenure(df):
 @query("agg_x_dist", f"""SELECT 'Retained' AS label, {RETAINED} AS value, '#4ecdc4' AS color FROM subscribers
 UNION ALL SELECT 'Churned', {CHURNED}, '#ff6b6b' FROM subscribers""")
 def export_distribution(t: Inputs):
-    return x_distribution(dashboard_rows(t))
+    return x_distribution(dashboard_rows(t.subscribers))
 
 
 def x_sql(key: str, name: str, extra: str = "") -> str:
@@ -219,18 +219,18 @@ def x_sql(key: str, name: str, extra: str = "") -> str:
 
 @query("agg_x_contract", x_sql("Contract", "contract"))
 def export_contract(t: Inputs):
-    return x_by(dashboard_rows(t), "Contract", "contract")
+    return x_by(dashboard_rows(t.subscribers), "Contract", "contract")
 
 
 @query("agg_x_payment", x_sql("PaymentMethod", "method"))
 def export_payment(t: Inputs):
-    return x_by(dashboard_rows(t), "PaymentMethod", "method")
+    return x_by(dashboard_rows(t.subscribers), "PaymentMethod", "method")
 
 
 @query("agg_x_internet", x_sql("InternetService", "service", """, CASE WHEN InternetService LIKE '%Fiber%' THEN '#ff6b6b'
   WHEN InternetService LIKE '%DSL%' THEN '#4ecdc4' ELSE '#ffd93d' END AS color"""))
 def export_internet(t: Inputs):
-    return x_internet(dashboard_rows(t))
+    return x_internet(dashboard_rows(t.subscribers))
 
 
 @query("agg_x_tenure", f"""WITH o(rank, tenure) AS (VALUES (0, '0-12'), (1, '13-24'), (2, '25-48'), (3, '49-60'), (4, '61-72')),
@@ -240,7 +240,7 @@ g AS (SELECT CASE WHEN tenure BETWEEN 0 AND 12 THEN '0-12' WHEN tenure BETWEEN 1
 SELECT tenure, coalesce(n, 0) AS customers, coalesce(r, 0.0::DOUBLE) AS "churnRate"
 FROM o LEFT JOIN g ON label = tenure""")
 def export_tenure(t: Inputs):
-    return x_tenure(dashboard_rows(t))
+    return x_tenure(dashboard_rows(t.subscribers))
 
 
 def bin_sql(column: str, bins: int, op: str) -> str:
@@ -256,7 +256,7 @@ SELECT CAST(CAST(round(CASE WHEN i = 0 THEN lo - (hi - lo) * 0.001::DOUBLE ELSE
   coalesce(n, 0) AS count, coalesce(r, 0.0::DOUBLE) AS "avgChurn"
 FROM e, range(5) x(i) LEFT JOIN g ON bin = i""")
 def export_bins(t: Inputs):
-    return charge_bins(dashboard_rows(t))
+    return charge_bins(dashboard_rows(t.stored_subscribers("tenure", "MonthlyCharges", TARGET)))
 
 
 # --- plot data ------------------------------------------------------------------------------
@@ -281,7 +281,7 @@ def hist_sql(column: str) -> str:
 
 @query("agg_hist", " UNION ALL ".join(hist_sql(c) for c in NUMERIC))
 def histograms(t: Inputs):
-    return histogram(t.clean, NUMERIC)
+    return histogram(t.stored_clean(*NUMERIC, TARGET), NUMERIC)
 
 
 def box_sql(column: str) -> str:
@@ -297,7 +297,7 @@ FROM (SELECT Churn, {column}::DOUBLE AS x, quantile_cont({column}::DOUBLE, 0.25)
 @query("agg_box", " UNION ALL ".join(box_sql(c) for c in NUMERIC))
 def boxes(t: Inputs):
     rounded = {c: F.round(c, 6) for c in ("q1", "median", "q3")}
-    return box_numbers(t.clean, NUMERIC).withColumns(rounded)
+    return box_numbers(t.stored_clean(*NUMERIC, TARGET), NUMERIC).withColumns(rounded)
 
 
 @query("agg_count_by_hue", " UNION ALL ".join(

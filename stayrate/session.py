@@ -54,6 +54,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of any executor."""
+    """Reliable checkpoint for narrow frames: survives the loss of any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame, name: str = "stored") -> DataFrame:
+    """A table in the shared folder, for a frame that several passes read: it is computed once,
+    and every pass then reads only the columns it needs."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
