@@ -42,13 +42,16 @@ def running_totals(
     # A row per key and slice. The join is left to the planner: joining by shuffle already
     # leaves the rows partitioned as the last window needs them.
     offsets = per_slice.select(
-        *keys,
-        "_slice",
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col("_slice").alias("_at"),
         *[F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_off_{n}") for n in names],
         *[F.sum(f"_sum_{n}").over(whole).alias(f"all_{n}") for n in names],
     )
     within = Window.partitionBy(*keys, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return sliced.join(offsets, [*keys, "_slice"]).select(
+    same = F.col("_slice") == F.col("_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return sliced.join(offsets, same).select(
         *keys,
         value,
         *names,

@@ -9,6 +9,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stayrate.functions.buckets import BUCKETS
 from stayrate.functions.columns import as_col, flag, recode
 from stayrate.functions.longform import unpivot_strings
 from stayrate.functions.ranks import exact_quantiles, running_totals
@@ -157,6 +158,25 @@ def scale_minmax(df: DataFrame, columns: Sequence[str], fitted: Mapping[str, Mom
     )
 
 
+# Multi-level columns of the batch data step.
+BATCH_DUMMIES = [
+    "MultipleLines", "InternetService", "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport",
+    "StreamingTV", "StreamingMovies", "Contract", "PaymentMethod",
+]
+
+
+def encode_batch(df: DataFrame, levels: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Binary columns to 0/1 and multi-level columns to indicators, the first level dropped.
+
+    Bucket columns have their labels for levels, in bucket order, whether or not a row has them.
+    Pass the ``levels`` of the training data to encode other data alike.
+    """
+    fixed = {"tenure_bucket": BUCKETS["dp"].labels, "charges_bucket": BUCKETS["chg_dp"].labels}
+    fitted = levels or fit_levels(df, [c for c in BATCH_DUMMIES if c in df.columns])
+    chosen = {**fitted, **{c: v for c, v in fixed.items() if c in df.columns}}
+    return dummies(encode_binary(df), list(chosen), chosen)
+
+
 # Column roles of the preprocessing step and its ordinal level orders.
 PP_NUMERIC = ["MonthlyCharges", "TotalCharges", "AvgMonthlyChargesPerService"]
 PP_NOMINAL = [

@@ -23,13 +23,14 @@ from stayrate.operators.splitting import with_class_weight
 
 SEED = 42
 
-# Default parameters. ``balanced`` weights classes by inverse frequency.
+# Default parameters. ``balanced`` weights classes by inverse frequency; ``C`` is the
+# inverse strength of the penalty, for the loss summed over all rows.
 DEFAULTS: dict[str, dict] = {
-    "logistic_regression": {"maxIter": 1000, "balanced": True},
+    "logistic_regression": {"maxIter": 1000, "C": 1.0, "balanced": True},
     "decision_tree": {"maxDepth": 10, "minInstancesPerNode": 5, "seed": SEED, "balanced": True},
     "random_forest": {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 5, "seed": SEED, "balanced": True},
     "gradient_boosting": {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "minInstancesPerNode": 5, "seed": SEED},
-    "svm": {"maxIter": 100, "regParam": 0.01, "balanced": True},
+    "svm": {"maxIter": 100, "C": 1.0, "balanced": True},
 }
 BUILDERS: dict[str, Callable] = {
     "logistic_regression": LogisticRegression,
@@ -50,11 +51,18 @@ def default_params(name: str) -> dict:
     return dict(DEFAULTS[name])
 
 
-def create_model(name: str, **params):
-    """An estimator with the defaults of ``name``, overridden by ``params``."""
+def create_model(name: str, rows: int | None = None, **params):
+    """An estimator with the defaults of ``name``, overridden by ``params``.
+
+    MLlib averages the loss, so ``C`` becomes a penalty only when the number of rows is known.
+    """
     settings = {**default_params(name), **params}
     if settings.pop("balanced", False):
         settings["weightCol"] = "weight"
+    strength = settings.pop("C", None)
+    if strength and rows and "regParam" not in settings:
+        settings["regParam"] = 1.0 / (strength * rows)
+        settings["standardization"] = False
     return BUILDERS[name](featuresCol="features", labelCol="label", **settings)
 
 
@@ -64,7 +72,8 @@ def all_models(**params) -> dict:
 
 def train(name: str, rows: DataFrame, **params) -> Model:
     """Fit on rows with ``features`` and ``label``; class weights are attached when needed."""
-    estimator = create_model(name, **params)
+    penalised = "C" in default_params(name)
+    estimator = create_model(name, rows.count() if penalised else None, **params)
     if estimator.isSet("weightCol"):
         rows = with_class_weight(rows, "label")
     return estimator.fit(rows)

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from stayrate.functions.buckets import BUCKETS
 from stayrate.operators import encoding, splitting
 from stayrate.operators.cleaning import numeric_totals
-from stayrate.operators.features import adoption_recode
-from stayrate.plans.features import ADOPT_NB_SQL, PER_SERVICE_SQL, RECODED
+from stayrate.operators.features import adoption_recode, batch_features
+from stayrate.plans.features import ADOPT_NB_SQL, MEDIAN_SQL, PER_SERVICE_SQL, RECODED, RISK_SQL, count_sql
 from stayrate.plans.registry import Inputs, query
 from stayrate.plans.sql_reports import bucket_sql
 from stayrate.schema import CATEGORICAL, NUMERIC
@@ -143,6 +143,26 @@ def minmax(t: Inputs):
     return rounded(encoding.scale_minmax(t.stored_clean("customerID", *NUMERIC), NUMERIC))
 
 
+BATCH_LEVELS = {
+    **{c: LEVELS[c] for c in encoding.BATCH_DUMMIES},
+    "tenure_bucket": list(BUCKETS["dp"].labels),
+    "charges_bucket": list(BUCKETS["chg_dp"].labels),
+}
+BATCH_SQL = ", ".join(
+    f"""CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS "{c}_{v}" """ for c, values in BATCH_LEVELS.items() for v in values[1:]
+)
+
+
+@query("enc_all_batch", f"""SELECT customerID, CASE gender WHEN 'Male' THEN 1 WHEN 'Female' THEN 0 END AS gender, SeniorCitizen,
+  {', '.join(yes_sql(c) for c in encoding.BINARY)}, tenure, MonthlyCharges, TotalCharges, {yes_sql('Churn')}, service_count,
+  avg_charges_per_month, high_value, contract_risk, {BATCH_SQL} FROM (
+  SELECT *, {bucket_sql('dp')} AS tenure_bucket, {bucket_sql('chg_dp')} AS charges_bucket, {count_sql()} AS service_count,
+    TotalCharges / (tenure + 1) AS avg_charges_per_month, {MEDIAN_SQL} AS high_value, {RISK_SQL} AS contract_risk FROM clean)""")
+def batch_encoding(t: Inputs):
+    """Derived features of the batch step, then its encoding."""
+    return encoding.encode_batch(batch_features(t.stored_clean()))
+
+
 # --- the preprocessing step: three branches in one projection -------------------------------
 
 ADOPTED = f"""adopted AS (SELECT * REPLACE ({bucket_sql('nb2')} AS tenure,

@@ -16,7 +16,7 @@ from stayrate.operators.bayes import fit_bayes
 from stayrate.operators.features import adoption_recode
 from stayrate.operators.neighbours import knn_vote, nearest_neighbours
 from stayrate.operators.splitting import split_random, split_stratified
-from stayrate.plans.encoding import RANDOM_SQL, STRATIFIED
+from stayrate.plans.encoding import LEVELS, RANDOM_SQL, STRATIFIED
 from stayrate.plans.registry import Inputs, query
 from stayrate.schema import CATEGORICAL, ID, NUMERIC
 from stayrate.session import cut_lineage, shared_path, store
@@ -100,28 +100,47 @@ def importance(t: Inputs):
     return models.importance(model, vectors.slot_names(rows))
 
 
-@query("vec_assemble")
+@query("vec_assemble", "SELECT customerID, 3 AS slots, tenure::DOUBLE AS f0, MonthlyCharges AS f1, TotalCharges AS f2 FROM clean")
 def assemble(t: Inputs):
     """Rows with an unreadable total are skipped by the assembler."""
     numbers = t.subscribers.select(ID, "tenure", "MonthlyCharges", F.trim("TotalCharges").try_cast("double").alias("TotalCharges"))
     out = vectors.assembler(NUMERIC).transform(numbers)
-    return out.select(ID, vector_to_array("features").alias("features"))
+    slots = vector_to_array("features")
+    return out.select(ID, F.size(slots).alias("slots"), *[slots[i].alias(f"f{i}") for i in range(3)])
 
 
-@query("enc_onehot_vec")
+def hot_sql(column: str) -> str:
+    cases = " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(LEVELS[column]))
+    return f"""CASE {column} {cases} END AS "{column}_hot", {len(LEVELS[column]) + 1} AS "{column}_slots" """
+
+
+ONEHOT = ["Contract", "PaymentMethod", "InternetService"]
+
+
+@query("enc_onehot_vec", f"SELECT customerID, {', '.join(hot_sql(c) for c in ONEHOT)} FROM subscribers")
 def onehot_vectors(t: Inputs):
-    columns = ["Contract", "PaymentMethod", "InternetService"]
-    rows = t.stored_subscribers(ID, *columns)
-    out = Pipeline(stages=vectors.onehot_stages(columns)).fit(rows).transform(rows)
-    return out.select(ID, *[vector_to_array(f"{c}_encoded").alias(c) for c in columns])
+    """The slot of each level; one more slot is kept for unseen levels."""
+    rows = t.stored_subscribers(ID, *ONEHOT)
+    out = Pipeline(stages=vectors.onehot_stages(ONEHOT)).fit(rows).transform(rows)
+    parts = []
+    for c in ONEHOT:
+        slots = vector_to_array(f"{c}_encoded")
+        parts += [
+            (F.array_position(slots, 1.0) - 1).cast("int").alias(f"{c}_hot"), F.size(slots).alias(f"{c}_slots")
+        ]
+    return out.select(ID, *parts)
 
 
-@query("vec_full")
+@query("vec_full", f"""SELECT customerID, (Churn = 'Yes')::INT::DOUBLE AS label,
+  {sum(len(LEVELS[c]) + 1 for c in CATEGORICAL) + len(NUMERIC)} AS slots,
+  {', '.join(f'round({c} / (SELECT stddev_samp({c}) FROM clean), 6) AS {c}' for c in NUMERIC)} FROM clean""")
 def full_vectors(t: Inputs):
     """Index, encode, assemble and scale, fitted on all rows."""
     rows = t.stored_clean()
     out = vectors.apply_vectors(vectors.fit_vectors(rows), rows)
-    return out.select(ID, "label", vector_to_array("scaled_features").alias("features"))
+    slots = vector_to_array("scaled_features")
+    numbers = [F.round(F.element_at(slots, i - len(NUMERIC)), 6).alias(c) for i, c in enumerate(NUMERIC)]
+    return out.select(ID, "label", F.size(slots).alias("slots"), *numbers)
 
 
 @query("sco_batch")
@@ -203,15 +222,32 @@ d AS (SELECT q.id AS qid, r.id AS rid, sqrt(((q.a - r.a) * (q.a - r.a) + (q.b -
 SELECT qid, rid, round(dist, 6) AS dist, CAST(row_number() OVER (PARTITION BY qid ORDER BY dist, rid) AS INTEGER) AS rank
 FROM d QUALIFY row_number() OVER (PARTITION BY qid ORDER BY dist, rid) <= 5""")
 def neighbours(t: Inputs, k: int = 5):
-    """Nearest customers by tenure and charge, in hundredths."""
-    points = t.stored_subscribers(ID, "tenure", "MonthlyCharges").select(
-        F.col(ID).alias("rid"),
-        F.array(F.col("tenure") * 100.0, F.round(F.col("MonthlyCharges") * 100)).alias("x"),
-    )
-    found = nearest_neighbours(points.withColumnRenamed("rid", "qid"), points, k)
+    """Nearest customers by tenure and charge."""
+    rows = points(t.stored_subscribers(ID, "tenure", "MonthlyCharges"))
+    found = nearest_neighbours(rows.withColumnRenamed("id", "qid"), rows.withColumnRenamed("id", "rid"), k)
     return found.withColumn("dist", F.round("dist", 6))
 
 
+def points(df, *more):
+    """Tenure and charge in hundredths, as a point of whole numbers."""
+    return df.select(F.col(ID).alias("id"), F.array(F.col("tenure") * 100.0, F.round(F.col("MonthlyCharges") * 100)).alias("x"), *more)
+
+
+@query("ml_knn_vote", f"""WITH {STRATIFIED},
+p AS (SELECT customerID AS id, split, (Churn = 'Yes')::INT AS y, tenure * 100 AS a, CAST(round(MonthlyCharges * 100) AS BIGINT) AS b FROM stratified),
+d AS (SELECT q.id AS qid, r.id AS rid, r.y, sqrt(((q.a - r.a) * (q.a - r.a) + (q.b - r.b) * (q.b - r.b))::DOUBLE) AS dist
+  FROM p q JOIN p r ON q.split = 'test' AND r.split = 'train'
+  QUALIFY row_number() OVER (PARTITION BY q.id ORDER BY dist, r.id) <= 5)
+SELECT qid AS "customerID", round(CASE WHEN min(dist) = 0 THEN sum(y) FILTER (WHERE dist = 0)::DOUBLE / count(*) FILTER (WHERE dist = 0)
+  ELSE sum(y / dist) / sum(1 / dist) END, 6) AS score FROM d GROUP BY qid""")
+def knn_scores(t: Inputs):
+    """Distance-weighted vote of the nearest training customers by tenure and charge."""
+    split = split_stratified(t.stored_subscribers(ID, "tenure", "MonthlyCharges", "Churn"))
+    refs = points(split.where("split = 'train'"), is_yes("Churn").alias("y")).withColumnRenamed("id", "rid")
+    queries = points(split.where("split = 'test'")).withColumnRenamed("id", "qid")
+    return knn_vote(queries, refs, k=5).select(F.col("qid").alias(ID), F.round("score", 6).alias("score"))
+
+
 @query("ml_knn")
 def knn(t: Inputs):
     train, test = model_rows(t)
