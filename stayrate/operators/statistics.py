@@ -128,7 +128,7 @@ def iqr_report(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC), reach: fl
     row = df.agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(mask).alias(c) for c, mask in masks.items()]
     )
-    return row.unpivot(["_n"], list(columns), "column", "n_outliers").select(
+    return row.unpivot(["_n"], list(masks), "column", "n_outliers").select(
         "column", "n_outliers", F.round(F.try_divide(F.col("n_outliers").cast("double"), F.col("_n")), 3).alias("share")
     )
 
@@ -164,8 +164,12 @@ def density(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC), points: int
         )
     params = df.agg(*fields).head()
 
+    # A column of fewer than two values, or of one value, has no bandwidth and gives no curve.
+    drawn = [c for c in columns if params[c]["width"]]
+    values = values.where(F.col("column").isin(drawn))
+
     def per_column(pick) -> Column:
-        return recode("column", {c: pick(params[c]) for c in columns})
+        return recode("column", {c: pick(params[c]) for c in drawn}) if drawn else F.lit(None).cast("double")
 
     width = per_column(lambda p: p["width"])
     start = per_column(lambda p: p["lo"] - p["width"] * cut)
