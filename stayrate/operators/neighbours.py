@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from stayrate.session import cut_lineage
 
-BLOCK = 8192
+BLOCK = 8192  # rows of either side in one block comparison, about
+CELL = 2048  # reference rows per cell, about: small cells prune better
 MAX_PIVOTS = 1024
 # Slack on pruning bounds, so that rounding never excludes a true neighbour.
 SLACK = 1e-9
@@ -48,16 +49,17 @@ def nearest_in_block(queries: pd.DataFrame, refs: pd.DataFrame, k: int, step: in
         d = distances(_matrix(part["qx"]), b)
         own = pd.Index(rids).get_indexer(part["qid"])
         d[np.flatnonzero(own >= 0), own[own >= 0]] = np.inf  # a row is not its own neighbour
-        # A stable sort keeps the id order among equal distances.
-        order = np.argsort(d, axis=1, kind="stable")[:, :k]
-        chosen = np.take_along_axis(d, order, axis=1)
-        rows, cols = np.nonzero(np.isfinite(chosen))
+        last = min(k, d.shape[1]) - 1
+        limit = np.partition(d, last, axis=1)[:, last]
+        rows, cols = np.nonzero((d <= limit[:, None]) & np.isfinite(d))
+        dist = d[rows, cols]
+        # Columns stand in id order, so ties at the limit go to the lowest ids.
+        order = np.lexsort((cols, dist, rows))
+        rows, cols, dist = rows[order], cols[order], dist[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        kept = rank < k
         yield pd.DataFrame(
-            {
-                "qid": part["qid"].to_numpy()[rows],
-                "rid": rids[order[rows, cols]],
-                "dist": chosen[rows, cols],
-            }
+            {"qid": part["qid"].to_numpy()[rows[kept]], "rid": rids[cols[kept]], "dist": dist[kept]}
         )
 
 
@@ -124,7 +126,9 @@ def keep_nearest(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def nearest_neighbours(queries: DataFrame, refs: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+def nearest_neighbours(
+    queries: DataFrame, refs: DataFrame, k: int, block: int = BLOCK, cell: int = CELL
+) -> DataFrame:
     """Rows ``(qid, rid, dist, rank)`` with the exact k nearest references of every query.
 
     ``queries`` has ``(qid, x)`` and ``refs`` ``(rid, x)``: text ids and arrays of doubles. A row
@@ -138,7 +142,7 @@ def nearest_neighbours(queries: DataFrame, refs: DataFrame, k: int, block: int =
     count = refs.count()
     if count == 0:
         return queries.sparkSession.createDataFrame([], "qid string, rid string, dist double, rank int")
-    pivots = pick_pivots(refs, max(1, min(MAX_PIVOTS, -(-count // block))))
+    pivots = pick_pivots(refs, max(1, min(MAX_PIVOTS, -(-count // cell))))
     refs = cut_lineage(assign_cells(refs, pivots))
     queries = cut_lineage(assign_cells(queries.select("qid", "x"), pivots))
     home = compare_blocks(queries, refs, k, block)

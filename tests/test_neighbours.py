@@ -21,15 +21,15 @@ def ranked(df):
     return out
 
 
-@pytest.mark.parametrize("block", [16, 8192])
-def test_matches_brute_force(spark, block):
+@pytest.mark.parametrize("block, cell", [(16, 20), (16, 8192), (8192, 8192), (8192, 10)])
+def test_matches_brute_force(spark, block, cell):
     rng = np.random.default_rng(5)
     refs = [(f"r{i:03}", rng.integers(0, 12, 2).astype(float).tolist()) for i in range(150)]
     refs += [(f"h{i:03}", [3.0, 3.0]) for i in range(75)]  # a third of all rows at one place
     rdf = spark.createDataFrame(refs, "rid string, x array<double>")
     queries = [(f"q{i:03}", rng.integers(0, 12, 2).astype(float).tolist()) for i in range(40)] + refs[:20] + refs[-20:]
     qdf = spark.createDataFrame(queries, "qid string, x array<double>")
-    assert ranked(nearest_neighbours(qdf, rdf, 4, block)) == brute(queries, refs, 4)
+    assert ranked(nearest_neighbours(qdf, rdf, 4, block, cell)) == brute(queries, refs, 4)
 
 
 def test_fewer_references_than_neighbours(spark):
