@@ -351,12 +351,13 @@ def read_splits(t: Inputs):
 
 @query("ev_balance_compare")
 def balance_compare(t: Inputs):
-    """One model trained on unbalanced and on balanced rows, judged on the same test rows."""
+    """Models trained on unbalanced and on balanced rows, judged on the same test rows."""
     rows = store(balanced(t).select("balance", "split", array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label")), "balanced")
     test = rows.where("split = 'test' AND balance = 'imbalanced'")
     parts = []
     for variant in ("imbalanced", "balanced"):
         train = rows.where((F.col("split") == "train") & (F.col("balance") == variant))
-        model = models.train("logistic_regression", train, balanced=False)
-        parts.append(models.score_rows(models.predict(model, test), variant))
-    return evaluation.compare(parts[0].unionByName(parts[1]))
+        for name in ("logistic_regression", "decision_tree"):
+            model = models.train(name, train, balanced=False)
+            parts.append(models.score_rows(models.predict(model, test), f"{name}: {variant}"))
+    return evaluation.compare(reduce(lambda a, b: a.unionByName(b), parts))

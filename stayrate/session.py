@@ -9,11 +9,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "stayrate", master: str | None = None, **conf: object) -> SparkSession:
+PARTITION_BYTES = 256 << 20
+
+
+def build_session(
+    app_name: str = "stayrate", master: str | None = None, input_bytes: int | None = None, **conf: object
+) -> SparkSession:
     """A session with the settings the library expects; ``conf`` overrides any of them.
 
-    Partition counts are left to AQE on a cluster: ``initialPartitionNum`` starts high and
-    small shuffle partitions are merged at run time.
+    With ``input_bytes``, the size of the largest table, shuffles start with a partition per
+    256 MB of it. That is more than needed, as rows are pruned and folded before they move: AQE
+    merges what turns out small, but it cannot cut what turns out large.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -25,6 +31,10 @@ def build_session(app_name: str = "stayrate", master: str | None = None, **conf:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     }
+    if input_bytes:
+        partitions = max(200, min(100_000, input_bytes // PARTITION_BYTES))
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(partitions)
+        settings["spark.sql.files.maxPartitionBytes"] = str(PARTITION_BYTES)
     settings.update({key.replace("__", "."): str(value) for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

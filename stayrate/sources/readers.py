@@ -54,11 +54,6 @@ def read_records(
     return spark.createDataFrame([tuple(r.get(f) for f in schema.names) for r in rows], schema)
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Every run below ``path``; the run id is a partition column and stays text."""
-    return spark.read.option("inferSchema", False).parquet(path).withColumn("run_ts", F.col("run_ts").cast("string"))
-
-
 def latest_run(spark: SparkSession, path: str) -> DataFrame:
     """The newest run only. The filter is on the partition column, so other runs are not read."""
     runs = spark.read.parquet(path)
