@@ -24,6 +24,8 @@ CELL = 2048  # reference rows per cell, about: small cells prune better
 MAX_PIVOTS = 1024
 # Slack on pruning bounds, so that rounding never excludes a true neighbour.
 SLACK = 1e-9
+MARGIN = 1e-10
+PAIRS = 200_000
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -40,19 +42,29 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def nearest_in_block(queries: pd.DataFrame, refs: pd.DataFrame, k: int, step: int = 512) -> Iterator[pd.DataFrame]:
-    """The k nearest reference rows of each query row, ties by reference id."""
+    """The k nearest reference rows of each query row, ties by reference id.
+
+    Squared distances from one matrix product choose the candidates, with a margin far above
+    their rounding error; the distances that rank them are then computed from differences.
+    """
     refs = refs.sort_values("rid", kind="stable").reset_index(drop=True)
     b = _matrix(refs["rx"])
+    b_norm = (b * b).sum(axis=1)
     rids = refs["rid"].to_numpy()
     for start in range(0, len(queries), step):
         part = queries.iloc[start : start + step]
-        d = distances(_matrix(part["qx"]), b)
+        a = _matrix(part["qx"])
+        a_norm = (a * a).sum(axis=1)
+        d = a_norm[:, None] + b_norm[None, :] - 2 * (a @ b.T)
         own = pd.Index(rids).get_indexer(part["qid"])
         d[np.flatnonzero(own >= 0), own[own >= 0]] = np.inf  # a row is not its own neighbour
         last = min(k, d.shape[1]) - 1
-        limit = np.partition(d, last, axis=1)[:, last]
+        limit = np.partition(d, last, axis=1)[:, last] + MARGIN * (a_norm + b_norm.max())
         rows, cols = np.nonzero((d <= limit[:, None]) & np.isfinite(d))
-        dist = d[rows, cols]
+        dist = np.empty(len(rows))
+        for i in range(0, len(rows), PAIRS):  # many ties at the limit must not fill the memory
+            gap = a[rows[i : i + PAIRS]] - b[cols[i : i + PAIRS]]
+            dist[i : i + PAIRS] = np.sqrt((gap * gap).sum(axis=1))
         # Columns stand in id order, so ties at the limit go to the lowest ids.
         order = np.lexsort((cols, dist, rows))
         rows, cols, dist = rows[order], cols[order], dist[order]

@@ -47,3 +47,19 @@ def test_votes(spark):
     assert got["on"] == 1.0
     assert got["near"] == pytest.approx(2 / (2 + 2 + 0.4))
     assert got["far"] == pytest.approx(0.5 / (0.5 + 1 + 1))
+
+
+def test_one_hot_vectors_with_many_ties(spark):
+    rng = np.random.default_rng(9)
+    refs = [(f"r{i:03}", rng.integers(0, 2, 6).astype(float).tolist()) for i in range(120)]
+    rdf = spark.createDataFrame(refs, "rid string, x array<double>")
+    found = nearest_neighbours(rdf.withColumnRenamed("rid", "qid"), rdf, 5, 32, 25)
+    assert ranked(found) == brute(refs, refs, 5)
+
+
+def test_far_from_the_origin(spark):
+    """Large norms make the matrix product inexact; the chosen neighbours stay exact."""
+    rng = np.random.default_rng(2)
+    refs = [(f"r{i:03}", (1e6 + rng.normal(0, 1e-2, 3)).tolist()) for i in range(80)]
+    rdf = spark.createDataFrame(refs, "rid string, x array<double>")
+    assert ranked(nearest_neighbours(rdf.withColumnRenamed("rid", "qid"), rdf, 3)) == brute(refs, refs, 3)
