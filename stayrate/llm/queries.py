@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stayrate.llm import substring
+from stayrate.llm import (
+    bpe, fingerprint, html_text, jaccard, licenses, mixing, quality_model, quality_rules, substring, url_filter,
+)
 from stayrate.sources.subscribers import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +26,56 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_source_mix")
+def source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", "source")
+    return mixing.takings(docs)
+
+
+@query("op2_quality_classifier")
+def quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_model.fit(docs, read_table(spark, folder, "labels"))
+    return quality_model.scored(docs, model).drop("text")
+
+
+RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
+]
+
+OP3 = r"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id,
+    translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+rules(verdict, host, path) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fits AS (
+  SELECT p.page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY p.page_id)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM parts p LEFT JOIN fits f USING (page_id)
+"""
+
+
+@query("op3_url_filter", OP3)
+def url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judged(read_table(spark, folder, "pages").select("page_id", "url"), RULES).drop("url")
+
+
+@query("op4_jaccard_join")
+def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.group_documents(read_table(spark, folder, "documents").select("doc_id", "text"), words=3, percent=90)
+
+
+@query("op5_fingerprint")
+def phrase_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint.fingerprints(read_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 OP6 = r"""
 WITH texts AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -45,3 +98,45 @@ FROM texts t LEFT JOIN covered c ON t.doc_id = c.doc_id
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs, size=20).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op7_html_text")
+def page_text(spark: SparkSession, folder: str) -> DataFrame:
+    model = html_text.train(html_text.labelled_examples(spark))
+    return html_text.extracted(read_table(spark, folder, "pages").select("page_id", "url", "html"), model).drop("html")
+
+
+@query("op8_quality_rules")
+def rule_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    forest = quality_rules.fit(docs, read_table(spark, folder, "labels"))
+    return quality_rules.judged(docs, forest).drop("text")
+
+
+@query("op9_bpe_codec")
+def bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return bpe_digests(docs, bpe_path()).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def bpe_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` encoded and decoded again, with the digests of ids and text in place of both."""
+    both = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    return both.withColumns({"ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2(F.encode("decoded", "utf-8"), 256)}).drop("ids", "decoded")
+
+
+@query("op10_license_scan")
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = licenses.scanned(docs, licenses.fit(docs))
+    probability = F.round(F.array_max(F.transform("notices", lambda x: x["probability"])), 6)
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_notices"), F.array_join("licenses", ",").alias("licenses"),
+        "has_unknown", probability.alias("top_probability"),
+    )
