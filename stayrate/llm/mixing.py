@@ -143,7 +143,7 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
             "half", F.expr("total div 2") + F.when(F.col("total") % 2 == 1, F.pmod(F.xxhash64(F.lit(seed), F.lit(level), F.col("node")), F.lit(2))).otherwise(zero)
         )
 
-        def draw(acc: Column, x: Column, level: int = level) -> Column:
+        def draw(acc: Column, x: Column) -> Column:
             def one(places: Column, i: Column) -> Column:
                 chance = F.pmod(F.xxhash64(F.lit(seed), F.lit(level), F.col("node"), x["s"], i), places["all"])
                 left = F.when(chance < places["left"], places["left"] - 1).otherwise(places["left"])
@@ -228,8 +228,9 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
     docs = without(docs, *RESULTS)
     _, _, blocks = plan(docs, id_column, text, source, shards, seed)
     lots = dealt(docs, id_column, text, source, seed)
-    joined = docs.withColumns(lots).join(blocks, ["_key", "_block"])
-    drawn = joined.select(*docs.columns, "_lot", F.posexplode(copies()).alias("_nth", "shard"))
+    # The document's own columns stay in one, so that no name of theirs meets one of the plan.
+    joined = docs.select(F.struct(*docs.columns).alias("_row"), *[c.alias(n) for n, c in lots.items()]).join(blocks, ["_key", "_block"])
+    drawn = joined.select("_row", "_lot", F.posexplode(copies()).alias("_nth", "shard"))
     drawn = drawn.withColumn("order_key", F.xxhash64(F.lit(seed + 4), "_lot", "_nth"))
-    drawn = drawn.withColumn("_slot", F.pmod("order_key", F.lit(SLOTS)))
-    return drawn.repartition("shard", "_slot").sortWithinPartitions("shard", "_slot", "order_key").drop("_lot", "_nth", "_slot")
+    drawn = drawn.withColumn("slot", F.pmod("order_key", F.lit(SLOTS)))
+    return drawn.repartition("shard", "slot").sortWithinPartitions("shard", "slot", "order_key").select("_row.*", "shard", "order_key")
