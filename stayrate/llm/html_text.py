@@ -160,8 +160,9 @@ def evidence(tag: str, names: str, words: int, linked: int) -> tuple[str, ...]:
     return (f"tag {tag}", f"links {share}", *[f"name {w}" for w in sorted(found)])
 
 
-def kind_of(tag: str) -> str:
-    return TEXT if tag == TEXT else tag if tag in BLOCKS else "inline"
+def kind_of(tag: str, names: str) -> str:
+    """Which potential a node has with its parent: an element that is named may begin something else."""
+    return TEXT if tag == TEXT else (tag if tag in BLOCKS else "inline") + ("." if names else "")
 
 
 @dataclass
@@ -190,7 +191,7 @@ class Model:
         # Belief of each node from below, as the pair (not content, content).
         low, high = [1.0] * size, [1.0] * size
         up: list[tuple[float, float]] = [(1.0, 1.0)] * size
-        pairs = [self.child.get(kind_of(t), self.rest) for t in page.tags]
+        pairs = [self.child.get(kind_of(t, n), self.rest) for t, n in zip(page.tags, page.names)]
         for i in range(size - 1, 0, -1):
             high[i] *= self.own(page.tags[i], page.names[i], words[i], linked[i])
             scale = low[i] + high[i]
@@ -237,7 +238,7 @@ def counted(source: str) -> Counter:
         up = label[page.parents[i]]
         label[i] = up if page.labels[i] is None else page.labels[i]
         # Inside a container the label is the parent's; evidence is counted where it is decided.
-        counts[f"pair {kind_of(page.tags[i])} {up}{label[i]}"] += 1
+        counts[f"pair {kind_of(page.tags[i], page.names[i])} {up}{label[i]}"] += 1
         for feature in evidence(page.tags[i], page.names[i], words[i], linked[i]):
             counts[f"{feature} {label[i]}"] += 1
         counts[f"all {label[i]}"] += 1

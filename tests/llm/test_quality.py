@@ -42,13 +42,13 @@ def test_counts_equal_brute_force(edges, none):
 
 def test_path_lengths_by_hand():
     rows = np.array([[0.0, 1.0], [0.1, 1.0], [0.2, 1.0], [9.0, 1.0]] * 30)
-    forest = quality_rules.grow(rows)
+    forest = quality_rules.grow(rows[:-1], rows.min(axis=0), rows.max(axis=0))
     lengths = forest.path_lengths(rows[:4])
 
     def walk(tree, row):
         node = 0
         while forest.feature[tree, node] >= 0:
-            node = 2 * node + 1 + (row[forest.feature[tree, node]] >= forest.cut[tree, node])
+            node = forest.left[tree, node] + (row[forest.feature[tree, node]] >= forest.cut[tree, node])
         return forest.length[tree, node]
 
     for row, length in zip(rows[:4], lengths):
