@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stayrate.llm import bpe, jaccard, mixing, quality_rules, substring
 from stayrate.llm.queries import bpe_path
-from stayrate.session import shared_path
+from stayrate.llm.scratch import Scratch
 from stayrate.sources.subscribers import read_table
 
 
@@ -57,9 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = shared_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    docs, scratch = read_table(spark, sf_dir, "documents"), Scratch(spark)
+    for i, (name, stage) in enumerate(STAGES):
+        docs = scratch.store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if i:
+            scratch.drop(f"pipeline-{STAGES[i - 1][0]}")
     return docs

@@ -117,7 +117,7 @@ def in_ranges(docs: DataFrame) -> DataFrame:
     count, = docs.agg(F.count(F.lit(1))).first()
     ranges = max(1, min(MOST_RANGES, count // RANGE_ROWS))
     found = docs.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)] or [0.5], 10 * ranges)).first()[0] or []
-    splits = [-float("inf"), *sorted({float(x) for x in found}), float("inf")]
+    splits = [-float("inf"), *(sorted({float(x) for x in found}) or [0.0]), float("inf")]
     # NULL ids come last, in a range of their own.
     bucketizer = Bucketizer(splits=splits, inputCol="_as_double", outputCol="_bucket", handleInvalid="keep")
     dealt = bucketizer.transform(docs.withColumn("_as_double", F.col("id").cast("double")))

@@ -55,6 +55,8 @@ TAG = re.compile(
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 TEXT = "#text"
+#: Without a name these say nothing; pages nest them at will.
+NEUTRAL = frozenset("div span section".split())
 SMOOTH = 0.5
 DATA_LABEL = re.compile(r"\bdata-content\s*=\s*\"([01])\"")
 
@@ -155,6 +157,8 @@ def evidence(tag: str, names: str, words: int, linked: int) -> tuple[str, ...]:
     """Features of a node."""
     if tag == TEXT:
         return ("text", f"words {min(5, words.bit_length())}")
+    if tag in NEUTRAL and not names:
+        return ()
     share = 0 if not words else 1 + (4 * linked) // words
     found = {w.lower() for w in WORDS.findall(names)}
     return (f"tag {tag}", f"links {share}", *[f"name {w}" for w in sorted(found)])
