@@ -8,7 +8,7 @@ that is not white space to one that is. A text may therefore be cut in front of
    top bits are zero: equal passages are cut alike, whatever stands before them.
 2. A chunk is encoded once: in the task, a chunk met before in any document is taken from a table.
    Its inside, from its first seam to its last, is encoded part by part, seam to seam; parts met
-   before come from a table, too. Only new parts go through the tokenizer.
+   before come from a table, too. Only new parts go through the tokenizer, many end to end.
 3. Chunk ends are no seams. The stretch from the last seam of one chunk to the first seam of the next
    is encoded anew at each join (a chunk without a seam lies in the stretch as a whole). To see that
    both sides agree, the stretch is also encoded together with the part before and the part behind;
@@ -21,24 +21,40 @@ empty and has no tokens.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, DataType, LongType, StringType, StructField, StructType
 
 from stayrate.llm.scratch import without
 from stayrate.llm.text import pieces, utf8
 
 CHUNK_BITS = 10
 WINDOW = 48
-BATCH_BYTES = 4 << 20
-TABLE_BYTES = 64 << 20
-# In front of a space or a line feed, after a printable ASCII character or a Latin-1 letter (C3 xx):
-# those are never white space. Other seams exist, but these are enough.
-SEAM = re.compile(rb"(?:(?<=[!-~])|(?<=\xc3[\x80-\xbf]))(?=[ \n])")
+BATCH_BYTES = 1 << 20
+TABLE_BYTES = 32 << 20
+#: Bytes of parts that go through the tokenizer as one text.
+RUN_BYTES = 4096
+# A seam lies in front of a space or a line feed that follows a printable ASCII character or a
+# Latin-1 letter (C3 xx): those are never white space. Other seams exist, but these are enough.
+BLANK = np.isin(np.arange(256), [10, 32])
+SAFE = (np.arange(256) > 32) & (np.arange(256) < 127)
+
+
+def seams(body: bytes) -> np.ndarray:
+    raw = np.frombuffer(body, np.uint8)
+    if len(raw) < 2:
+        return np.zeros(0, np.int64)
+    safe = SAFE[raw[:-1]]
+    safe[1:] |= raw[:-2] == 0xC3
+    return np.flatnonzero(BLANK[raw[1:]] & safe) + 1
+
+
+def joinable(part: bytes) -> bool:
+    """Whether parts like this one may stand end to end, with seams between them."""
+    return part[:1] in (b" ", b"\n") and (33 <= part[-1] < 127 or part[-2:-1] == b"\xc3")
 
 
 def byte_letters() -> dict[str, int]:
@@ -73,6 +89,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.lengths = np.array([len(b) for b in vocabulary_bytes(tokenizer_json)], np.int64)
         self.gear = np.random.default_rng(48).integers(0, 1 << 63, 256, dtype=np.uint64)
         self.parts, self.chunks, self.agreed = Table(limit), Table(limit), Table(limit // 4)
         self.encoded_bytes = 0
@@ -85,23 +102,57 @@ class Encoder:
         ends = (np.flatnonzero((rolled >> np.uint64(64 - CHUNK_BITS)) == 0) + WINDOW + 1).tolist()
         return [c for c in (body[i:j] for i, j in zip([0, *ends], [*ends, len(body)])) if c]
 
-    def tokens(self, texts: list[bytes]) -> list[bytes]:
+    def through(self, texts: list[bytes]) -> list[np.ndarray]:
         self.encoded_bytes += sum(map(len, texts))
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [np.array(x.ids, "<u4") for x in found]
 
-    def ids_of(self, wanted: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Ids of each part; the new ones go through the tokenizer, once each."""
+    def tokens(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text. Those that may stand end to end go through the tokenizer in runs, which
+        are taken apart by the lengths of their tokens."""
+        out: list[bytes] = [b""] * len(texts)
+        runs, alone, size = [[]], [], 0
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if not joinable(text):
+                alone.append(i)
+                continue
+            if size > RUN_BYTES:
+                runs.append([])
+                size = 0
+            runs[-1].append(i)
+            size += len(text)
+        if runs[0]:
+            for run, ids in zip(runs, self.through([b"".join([texts[i] for i in run]) for run in runs])):
+                ends = np.cumsum([len(texts[i]) for i in run])
+                after = np.cumsum(self.lengths[ids])
+                at = np.searchsorted(after, ends)
+                if len(after) and at[-1] < len(after) and (after[at] == ends).all():
+                    raw, stops = ids.tobytes(), (4 * (at + 1)).tolist()
+                    for i, a, b in zip(run, [0, *stops], stops):
+                        out[i] = raw[a:b]
+                else:
+                    alone += run
+        for i, ids in zip(alone, self.through([texts[i] for i in alone]) if alone else ()):
+            out[i] = ids.tobytes()
+        return out
+
+    def learn(self, wanted: Iterable[bytes]) -> None:
+        """Puts the ids of all these parts into the table; new ones are encoded once each."""
         table = self.parts
-        known = {p: table.get(p) for p in wanted}
-        fresh = [p for p, ids in known.items() if ids is None]
-        for part, ids in zip(fresh, self.tokens(fresh) if fresh else ()):
-            known[part] = ids
-            table.add(part, ids, len(ids))
-        return known
+        fresh = list(dict.fromkeys([p for p in wanted if p not in table]))
+        if fresh:
+            encoded = self.tokens(fresh)
+            for part, ids in zip(fresh, encoded):
+                table.used += len(part) + len(ids) + 200
+                table[part] = ids
 
     def encode(self, bodies: list[bytes]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
+        if self.parts.used > self.parts.limit:
+            self.parts.clear()
+            self.parts.used = 0
         chunked = [self.cut(b) for b in bodies]
         known, fresh = {}, {}
         for chunks in chunked:
@@ -111,22 +162,24 @@ class Encoder:
                     if found:
                         known[chunk] = found
                     else:
-                        fresh[chunk] = SEAM.split(chunk)
-        parts = self.ids_of(p for each in fresh.values() for p in each[1:-1])
+                        ends = [0, *seams(chunk).tolist(), len(chunk)]
+                        fresh[chunk] = [chunk[i:j] for i, j in zip(ends, ends[1:])]
+        self.learn(p for each in fresh.values() for p in each[1:-1])
+        ids_of = self.parts.__getitem__
         for chunk, (head, *rest) in fresh.items():
             # Bytes before the first seam, ids from there to the last one, bytes behind it (None
             # without a seam), and the outermost parts of the inside.
             inside = rest[:-1]
-            ids = b"".join([parts[p] for p in inside])
+            ids = b"".join(map(ids_of, inside))
             known[chunk] = found = (head, ids, rest[-1] if rest else None, inside[0] if inside else b"", inside[-1] if inside else b"")
             self.chunks.add(chunk, found, len(ids) + 300)
         planned = [self.joined(chunks, known) for chunks in chunked]
-        stretches = self.ids_of(s for plan in planned for s, *_ in plan)
-        differ = self.disagreeing([s for plan in planned for s in plan], stretches)
+        self.learn(s for plan in planned for s, *_ in plan)
+        differ = self.disagreeing([s for plan in planned for s in plan])
         whole = [i for i, plan in enumerate(planned) if differ and any(s[:3] in differ for s in plan)]
-        out = [b"".join([x for s, _, _, ids in plan for x in (stretches[s], ids)]) for plan in planned]
-        for i, ids in zip(whole, self.tokens([bodies[i] for i in whole]) if whole else ()):
-            out[i] = ids
+        out = [b"".join([x for s, _, _, ids in plan for x in (ids_of(s), ids)]) for plan in planned]
+        for i, ids in zip(whole, self.through([bodies[i] for i in whole]) if whole else ()):
+            out[i] = ids.tobytes()
         return out
 
     def joined(self, chunks: list[bytes], known: dict) -> list[tuple[bytes, bytes, bytes, bytes]]:
@@ -142,17 +195,17 @@ class Encoder:
         plan.append((pending, before, b"", b""))
         return plan
 
-    def disagreeing(self, joins: list[tuple], stretches: dict[bytes, bytes]) -> set[tuple]:
+    def disagreeing(self, joins: list[tuple]) -> set[tuple]:
         """Joins whose neighbours are encoded otherwise together with the stretch than apart."""
         fresh = list({s[:3] for s in joins if (s[1] or s[2]) and s[:3] not in self.agreed})
         if not fresh:
             return set()
-        parts = self.ids_of(p for _, before, behind in fresh for p in (before, behind))
+        self.learn(p for join in fresh for p in join)
         together = self.tokens([before + stretch + behind for stretch, before, behind in fresh])
         differ = set()
         for join, ids in zip(fresh, together):
             stretch, before, behind = join
-            if ids == parts[before] + stretches[stretch] + parts[behind]:
+            if ids == self.parts[before] + self.parts[stretch] + self.parts[behind]:
                 self.agreed.add(join, True, len(stretch) + 200)
             else:
                 differ.add(join)
@@ -178,36 +231,70 @@ def shared_json(docs: DataFrame, path: str):
         return docs.sparkSession.sparkContext.broadcast(f.read())
 
 
+def passed(docs: DataFrame, run: Callable, drop: Sequence[str], added: Sequence[tuple[str, DataType]]) -> DataFrame:
+    """``docs`` without the columns ``drop``, and with the arrays that ``run`` yields per piece."""
+
+    def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, arrays in run(batches):
+            kept = [i for i, n in enumerate(rows.schema.names) if n not in drop]
+            names = [*[rows.schema.names[i] for i in kept], *[n for n, _ in added]]
+            yield pa.RecordBatch.from_arrays([*[rows.column(i) for i in kept], *arrays], names=names)
+
+    fields = [f for f in docs.schema.fields if f.name not in drop]
+    return docs.mapInArrow(step, StructType([*fields, *[StructField(n, t) for n, t in added]]))
+
+
+ENCODED = (("ids", BinaryType()), ("n_tokens", LongType()))
+DECODED = (("decoded", StringType()),)
+
+
+def id_arrays(encoder: Encoder, texts: list[bytes]) -> list[pa.Array]:
+    ids = encoder.encode(texts)
+    return [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+
+
+def texts_of(ids: pa.Array, vocabulary: list[bytes]) -> pa.Array:
+    of = vocabulary.__getitem__
+    texts = (b"".join(map(of, np.frombuffer(x or b"", "<u4").tolist())) for x in ids.to_pylist())
+    return pa.array([t.decode(errors="replace") for t in texts], pa.string())
+
+
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (little-endian unsigned 32-bit integers) and ``n_tokens``.
 
     ``path`` names a byte-level BPE tokenizer's JSON file.
     """
     tokenizer = shared_json(docs, path)
-    docs = without(docs, "ids", "n_tokens")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         encoder = Encoder(tokenizer.value)
         for rows in pieces(batches, text, BATCH_BYTES):
-            ids = encoder.encode(utf8(rows.column(text)))
-            counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids, pa.binary()), counts], names=[*rows.schema.names, "ids", "n_tokens"])
+            yield rows, id_arrays(encoder, utf8(rows.column(text)))
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", BinaryType()), StructField("n_tokens", LongType())]))
+    return passed(without(docs, "ids", "n_tokens"), run, (), ENCODED)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``, the text of the ids; special tokens are not skipped."""
     tokenizer = shared_json(encoded, path)
-    encoded = without(encoded, "decoded")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = vocabulary_bytes(tokenizer.value).__getitem__
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        vocabulary = vocabulary_bytes(tokenizer.value)
         for rows in pieces(batches, ids, BATCH_BYTES):
-            texts = [
-                b"".join(map(of, np.frombuffer(x or b"", "<u4").tolist())).decode(errors="replace")
-                for x in rows.column(ids).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], names=[*rows.schema.names, "decoded"])
+            yield rows, [texts_of(rows.column(ids), vocabulary)]
+
+    return passed(without(encoded, "decoded"), run, (), DECODED)
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``ids``, ``n_tokens`` and ``decoded`` in place of the text: encoding and then
+    decoding in one pass, so that the ids need not go to another process in between."""
+    tokenizer = shared_json(docs, path)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        encoder, vocabulary = Encoder(tokenizer.value), vocabulary_bytes(tokenizer.value)
+        for rows in pieces(batches, text, BATCH_BYTES):
+            arrays = id_arrays(encoder, utf8(rows.column(text)))
+            yield rows, [*arrays, texts_of(arrays[0], vocabulary)]
 
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField("decoded", StringType())]))
+    return passed(without(docs, "ids", "n_tokens", "decoded"), run, (text,), (*ENCODED, *DECODED))

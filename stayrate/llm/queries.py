@@ -127,7 +127,7 @@ def bpe_path() -> str:
 
 def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` encoded and decoded again, with the digests of ids and text in place of both."""
-    both = bpe.decode(bpe.encode(docs, path).drop("text"), path)
+    both = bpe.round_trip(docs, path)
     return both.withColumns({"ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2(F.encode("decoded", "utf-8"), 256)}).drop("ids", "decoded")
 
 
