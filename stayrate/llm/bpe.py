@@ -6,7 +6,7 @@ that is not white space to one that is. A text may therefore be cut in front of
 
 1. A rolling hash of the last 48 bytes cuts a text into chunks of about a kilobyte wherever its
    top bits are zero: equal passages are cut alike, whatever stands before them.
-2. A chunk is encoded once: in the task, a chunk met before in any document is taken from a table.
+2. A chunk is encoded once: in the Python worker, a chunk met before in any document is taken from a table.
    Its inside, from its first seam to its last, is encoded part by part, seam to seam; parts met
    before come from a table, too. Only new parts go through the tokenizer, many end to end.
 3. Chunk ends are no seams. The stretch from the last seam of one chunk to the first seam of the next
@@ -21,6 +21,7 @@ empty and has no tokens.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -81,15 +82,17 @@ class Table(dict):
 
 
 class Encoder:
-    """Encodes texts with reuse of chunks and parts; one per task."""
+    """Encodes texts with reuse of chunks and parts; one per Python worker."""
 
-    def __init__(self, tokenizer_json: str, limit: int = TABLE_BYTES) -> None:
+    def __init__(self, tokenizer_json: str, vocabulary: Sequence[bytes], limit: int = TABLE_BYTES) -> None:
+        # Spark's tasks are the parallelism; more threads only cost memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.lengths = np.array([len(b) for b in vocabulary_bytes(tokenizer_json)], np.int64)
+        self.lengths = np.array([len(b) for b in vocabulary], np.int64)
         self.gear = np.random.default_rng(48).integers(0, 1 << 63, 256, dtype=np.uint64)
         self.parts, self.chunks, self.agreed = Table(limit), Table(limit), Table(limit // 4)
         self.encoded_bytes = 0
@@ -225,10 +228,20 @@ def vocabulary_bytes(tokenizer_json: str) -> list[bytes]:
     return found
 
 
-def shared_json(docs: DataFrame, path: str):
-    """The tokenizer's file, read once and sent to each executor once; a few MB."""
-    with open(path, encoding="utf-8") as f:
-        return docs.sparkSession.sparkContext.broadcast(f.read())
+class Shared:
+    """A tokenizer's file and what it is made into. Sent to each executor once, a few MB; the encoder
+    is made where it is first used and then serves all tasks of that worker."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as f:
+            self.json = f.read()
+        self.vocabulary = vocabulary_bytes(self.json)
+        self.made: list[Encoder] = []
+
+    def encoder(self) -> Encoder:
+        if not self.made:
+            self.made.append(Encoder(self.json, self.vocabulary))
+        return self.made[0]
 
 
 def passed(docs: DataFrame, run: Callable, drop: Sequence[str], added: Sequence[tuple[str, DataType]]) -> DataFrame:
@@ -264,10 +277,10 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
     ``path`` names a byte-level BPE tokenizer's JSON file.
     """
-    tokenizer = shared_json(docs, path)
+    shared = docs.sparkSession.sparkContext.broadcast(Shared(path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-        encoder = Encoder(tokenizer.value)
+        encoder = shared.value.encoder()
         for rows in pieces(batches, text, BATCH_BYTES):
             yield rows, id_arrays(encoder, utf8(rows.column(text)))
 
@@ -276,10 +289,10 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``, the text of the ids; special tokens are not skipped."""
-    tokenizer = shared_json(encoded, path)
+    shared = encoded.sparkSession.sparkContext.broadcast(Shared(path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-        vocabulary = vocabulary_bytes(tokenizer.value)
+        vocabulary = shared.value.vocabulary
         for rows in pieces(batches, ids, BATCH_BYTES):
             yield rows, [texts_of(rows.column(ids), vocabulary)]
 
@@ -289,10 +302,10 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids``, ``n_tokens`` and ``decoded`` in place of the text: encoding and then
     decoding in one pass, so that the ids need not go to another process in between."""
-    tokenizer = shared_json(docs, path)
+    shared = docs.sparkSession.sparkContext.broadcast(Shared(path))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-        encoder, vocabulary = Encoder(tokenizer.value), vocabulary_bytes(tokenizer.value)
+        encoder, vocabulary = shared.value.encoder(), shared.value.vocabulary
         for rows in pieces(batches, text, BATCH_BYTES):
             arrays = id_arrays(encoder, utf8(rows.column(text)))
             yield rows, [*arrays, texts_of(arrays[0], vocabulary)]

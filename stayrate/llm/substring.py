@@ -27,6 +27,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -210,7 +211,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     def finish(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         body = unpacked(rows.column("payload")[0].as_py())
         words = Words(body, ids, text, size, WordHashes())
-        masks, late = (answers.filter(pa.compute.equal(answers.column("kind"), k)) for k in (0, 1))
+        masks, late = (answers.filter(pc.equal(answers.column("kind"), k)) for k in (0, 1))
         mask = np.unpackbits(np.frombuffer(zstandard.decompress(masks.column("payload")[0].as_py()), np.uint8))
         gone = removed_words(words, mask[: len(words.windows)], late, bits)
         lost, texts, digests = [], body.column(text).to_pylist(), []

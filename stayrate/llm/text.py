@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -52,7 +53,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, most_bytes: int) -> Ite
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.array([0 if x is None else x for x in pa.compute.binary_length(batch.column(text)).to_pylist()], np.int64)
+        sizes = np.array([0 if x is None else x for x in pc.binary_length(batch.column(text)).to_pylist()], np.int64)
         ends = np.cumsum(sizes + 16)
         start = 0
         while start < batch.num_rows:

@@ -19,6 +19,11 @@ HARD = [
 ]
 
 
+def new_encoder(**more):
+    shared = bpe.Shared(PATH)
+    return bpe.Encoder(shared.json, shared.vocabulary, **more)
+
+
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(PATH)
@@ -42,14 +47,14 @@ def test_equals_the_tokenizer(edges, spark, plain):
 
 def test_small_chunks_and_tables(plain, monkeypatch):
     monkeypatch.setattr(bpe, "CHUNK_BITS", 4)
-    encoder = bpe.Encoder(open(PATH).read(), limit=2000)
+    encoder = new_encoder(limit=2000)
     texts = [t.encode() for t in HARD] + [(r[1] or "").encode() for r in edge_rows()]
     for ids, text in zip(encoder.encode(texts), texts):
         assert hashlib.sha256(ids).hexdigest() == plain(text.decode())[1]
 
 
 def test_shared_chunks_are_encoded_once():
-    encoder = bpe.Encoder(open(PATH).read())
+    encoder = new_encoder()
     passage = phrase(5, 4000)
     first = encoder.encode([("begin " + passage).encode()])
     used = encoder.encoded_bytes
@@ -62,7 +67,7 @@ def test_disagreeing_joins_grow(monkeypatch, plain):
     """With seams that are none, inside of words, the repair grows to the whole text."""
     monkeypatch.setattr(bpe, "CHUNK_BITS", 5)
     monkeypatch.setattr(bpe, "seams", lambda body: np.array([m.start() for m in re.finditer(rb"(?<=[a-m])(?=[n-z])", body)], np.int64))
-    encoder = bpe.Encoder(open(PATH).read())
+    encoder = new_encoder()
     texts = [phrase(i, 300).replace("b", "then ").replace("c", "unto") for i in range(5)]
     assert encoder.disagreeing([(b"lo", b"hel", b"w", b"")])
     for ids, text in zip(encoder.encode([t.encode() for t in texts]), texts):
