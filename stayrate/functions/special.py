@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 TINY = 1e-300
 EPS = 1e-15
+NORMAL = 1e6
 
 
 def upper_gamma(a: float, x: float) -> float:
@@ -28,15 +30,14 @@ def upper_gamma(a: float, x: float) -> float:
     b = x + 1 - a  # continued fraction for the upper part, modified Lentz
     c, d = 1 / TINY, 1 / b
     value = d
-    for i in range(1, 10_000):
+    for i in itertools.count(1):
         step = -i * (i - a)
         b += 2
         d = 1 / (step * d + b or TINY)
         c = b + step / c or TINY
         value *= d * c
         if abs(d * c - 1) < EPS:
-            break
-    return math.exp(log_front) * value
+            return math.exp(log_front) * value
 
 
 def incomplete_beta(a: float, b: float, x: float) -> float:
@@ -50,7 +51,7 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
     log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
     c, d = 1.0, 1.0 / (1 - (a + b) * x / (a + 1) or TINY)
     value = d
-    for m in range(1, 10_000):
+    for m in itertools.count(1):
         even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
         odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
         change = 1.0
@@ -60,8 +61,7 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
             change = d * c
             value *= change
         if abs(change - 1) < EPS:
-            break
-    return math.exp(log_front) * value / a
+            return math.exp(log_front) * value / a
 
 
 def chi2_tail(statistic: float, dof: float) -> float:
@@ -69,7 +69,15 @@ def chi2_tail(statistic: float, dof: float) -> float:
 
 
 def t_two_sided(statistic: float, dof: float) -> float:
-    return incomplete_beta(dof / 2, 0.5, dof / (dof + statistic * statistic))
+    """Above ``NORMAL`` degrees of freedom the log-gamma terms of the beta function cancel and cost
+    digits, while the normal tail with its first two corrections in 1/dof is exact to rounding."""
+    if dof <= NORMAL:
+        return incomplete_beta(dof / 2, 0.5, dof / (dof + statistic * statistic))
+    t = abs(statistic)
+    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    first = t * (t**2 + 1) / 4
+    second = t * (3 * t**6 - 7 * t**4 - 5 * t**2 - 3) / 96
+    return math.erfc(t / math.sqrt(2)) + 2 * density * (first / dof + second / dof**2)
 
 
 def tail(kind: str, statistic: str, dof: str) -> Column:

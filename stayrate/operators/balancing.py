@@ -6,15 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayrate.functions.ranks import running_totals
-from stayrate.functions.sizes import small_rows
 from stayrate.operators.neighbours import nearest_neighbours
 from stayrate.session import cut_lineage
 
 
 def unit(seed: int, *columns: Column | str) -> Column:
     """A repeatable uniform number in [0, 1) per row, from a hash of the given columns."""
-    value = F.xxhash64(F.lit(seed), *columns)
-    return F.pmod(value, F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
+    text = F.md5(F.concat_ws(":", F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in columns]))
+    # 13 hexadecimal digits are 52 bits, which a double holds exactly.
+    return F.conv(F.substring(text, 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
 
 
 def smote(df: DataFrame, k: int = 5, seed: int = 42, id_column: str = "id", label: str = "y") -> DataFrame:
@@ -26,10 +26,12 @@ def smote(df: DataFrame, k: int = 5, seed: int = 42, id_column: str = "id", labe
     minority neighbours, at a place that a hash of its id decides.
     """
     rows = cut_lineage(df.select(id_column, "x", label))
-    sizes = {r[label]: r["n"] for r in small_rows(rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")), "classes")}
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     original = rows.withColumn("synthetic", F.lit(False))
+    # A third class is enough to refuse.
+    sizes = {r[label]: r["n"] for r in counts.limit(3).collect()}
     if len(sizes) != 2:
-        raise ValueError(f"two classes are needed, found {sorted(sizes)}")
+        raise ValueError(f"two classes are needed, found {len(sizes)} or more")
     minority = min(sizes, key=lambda c: (sizes[c], c))
     have, wanted = sizes[minority], max(sizes.values())
     if have == wanted:

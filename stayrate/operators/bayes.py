@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from stayrate.functions.columns import add_up, is_yes
 from stayrate.functions.longform import unpivot_numbers, unpivot_strings
-from stayrate.functions.sizes import small_rows
 from stayrate.schema import TARGET
 
 FLOOR = 0.001  # stands in for a zero level frequency or deviation
@@ -53,7 +52,8 @@ def fit_bayes(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
         F.sum(is_yes(label)).alias("yes"), F.count_if(F.col(label) == "No").alias("no")
     )
     table: dict[str, dict[str, tuple[int, int]]] = {c: {} for c in categorical}
-    for row in small_rows(counts, "category levels", 10_000):
+    # Levels are literals of the scoring projection, so they come to the driver.
+    for row in counts.collect():
         table[row["column"]][row["value"]] = (row["no"], row["yes"])
     levels = {}
     for column, values in table.items():

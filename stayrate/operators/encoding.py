@@ -13,7 +13,6 @@ from stayrate.functions.buckets import BUCKETS
 from stayrate.functions.columns import as_col, flag, recode
 from stayrate.functions.longform import unpivot_strings
 from stayrate.functions.ranks import exact_quantiles, running_totals
-from stayrate.functions.sizes import broadcast_if_small, small_rows
 from stayrate.schema import TARGET
 
 YES_NO = {"Yes": 1, "No": 0}
@@ -28,15 +27,15 @@ def encode_binary(df: DataFrame, columns: Sequence[str] = tuple(BINARY)) -> Data
     return df.withColumns(maps)
 
 
-def fit_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 10_000) -> dict[str, list[str]]:
+def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct values per column, NULL left out.
 
-    The levels become output columns, so there must be few of them: more than ``max_levels``
-    is an error and not a truncated encoding.
+    Each level becomes a column of the result, so the levels come to the driver, which plans with
+    them. For columns of many levels use ``vectors.onehot_stages``, whose vectors are sparse.
     """
     distinct = unpivot_strings(df, columns).where(F.col("value").isNotNull()).distinct()
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in small_rows(distinct, "category levels", max_levels):
+    for row in distinct.collect():
         levels[row["column"]].append(row["value"])
     return {c: sorted(values) for c, values in levels.items()}
 
@@ -90,8 +89,7 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def attach_codes(df: DataFrame, columns: Sequence[str], id_column: str) -> DataFrame:
     """Long form ``(id, column, value, code)``."""
-    codes = broadcast_if_small(label_codes(df, columns))
-    return unpivot_strings(df, columns, [id_column]).join(codes, ["column", "value"], "left")
+    return unpivot_strings(df, columns, [id_column]).join(label_codes(df, columns), ["column", "value"], "left")
 
 
 def ordinal(column: str, levels: Sequence[object]) -> Column:

@@ -63,23 +63,34 @@ def cumulative_scores(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def with_end(points: DataFrame, by: Sequence[str], end: dict[str, float]) -> DataFrame:
+    """``points`` and, per curve, the point at which no row is predicted positive. Its threshold is
+    infinite: no score reaches it."""
+    values = {"threshold": float("inf"), **end}
+    ends = points.select(*by).distinct() if by else points.groupBy().agg(F.count(F.lit(1)).alias("_n")).where("_n > 0")
+    return points.unionByName(ends.select(*by, *[F.lit(v).alias(n) for n, v in values.items()]))
+
+
 def roc_points(df: DataFrame, by: Sequence[str] = (), digits: int = 6) -> DataFrame:
-    """A point per distinct score. The curve starts at (0, 0), which is no threshold of the data."""
-    return score_steps(df, by).select(
+    """A point per distinct score, and the start of the curve at (0, 0)."""
+    points = score_steps(df, by).select(
         *by,
         F.col("score").alias("threshold"),
         F.round(ratio(F.col("cum_neg"), F.col("all_neg")), digits).alias("fpr"),
         F.round(ratio(F.col("cum_pos"), F.col("all_pos")), digits).alias("tpr"),
     )
+    return with_end(points, by, {"fpr": 0.0, "tpr": 0.0})
 
 
 def pr_points(df: DataFrame, by: Sequence[str] = (), digits: int = 6) -> DataFrame:
-    return score_steps(df, by).select(
+    """A point per distinct score, and the end of the curve at recall 0 and precision 1."""
+    points = score_steps(df, by).select(
         *by,
         F.col("score").alias("threshold"),
         F.round(ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")), digits).alias("precision"),
         F.round(ratio(F.col("cum_pos"), F.col("all_pos")), digits).alias("recall"),
     )
+    return with_end(points, by, {"precision": 1.0, "recall": 0.0})
 
 
 def ranking_metrics(df: DataFrame, by: Sequence[str] = (), digits: int = 6) -> DataFrame:

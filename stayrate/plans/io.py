@@ -6,10 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from stayrate.functions.sizes import small_rows
 from stayrate.operators import evaluation as ev
 from stayrate.operators import scoring, splitting
-from stayrate.operators.aggregate import charge_bins, churn_by
+from stayrate.operators.aggregate import charge_bins
 from stayrate.operators.cleaning import keep_nonblank
 from stayrate.operators.features import transformed_table
 from stayrate.plans.base_sql import CHURNED, rate
@@ -37,11 +36,12 @@ def csv_inferred(t: Inputs):
     return readers.read_csv_inferred(t.spark, path)
 
 
-@query("src_records", f"SELECT Contract, count(*) AS total_customers, {CHURNED} AS churned, {rate()} AS churn_rate FROM subscribers GROUP BY 1")
+@query("src_records", "SELECT customerID, tenure, Contract, MonthlyCharges FROM subscribers")
 def records(t: Inputs):
-    """Report rows through plain dictionaries and back into a frame."""
-    report = churn_by(t.subscribers, ["Contract"])
-    return readers.read_records(t.spark, [r.asDict() for r in small_rows(report, "contract report")], report.schema)
+    """Rows out of given records: each a JSON object, parsed where it lies."""
+    rows = t.subscribers.select(ID, "tenure", "Contract", "MonthlyCharges")
+    given = rows.select(F.to_json(F.struct("*")).alias("record"))
+    return given.select(F.from_json("record", rows.schema).alias("r")).select("r.*")
 
 
 @query("snk_csv", "SELECT * EXCLUDE (customerID) FROM clean")

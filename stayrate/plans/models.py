@@ -19,7 +19,7 @@ from stayrate.operators.splitting import split_random, split_stratified
 from stayrate.plans.encoding import LEVELS, RANDOM_SQL, STRATIFIED
 from stayrate.plans.registry import Inputs, query
 from stayrate.schema import CATEGORICAL, ID, NUMERIC
-from stayrate.session import cut_lineage, shared_path, store
+from stayrate.session import shared_path, store
 from stayrate.sources import readers, sinks
 
 
@@ -34,6 +34,10 @@ def model_rows(t: Inputs):
     return rows.where("split = 'train'").drop("split"), rows.where("split = 'test'").drop("split")
 
 
+#: The models that the training step enables.
+ENABLED: dict[str, dict] = {n: {} for n in ("logistic_regression", "decision_tree", "random_forest", "gradient_boosting")}
+
+
 def judged(name: str, predictions):
     rows = models.score_rows(predictions, name)
     return evaluation.compare(rows)
@@ -63,41 +67,38 @@ def shallow_tree(t: Inputs):
 
 @query("ml_factory")
 def factory(t: Inputs):
-    """An estimator of every name, fitted with light settings on the training rows."""
+    """An estimator of every name, fitted with its defaults on the training rows."""
     train, test = model_rows(t)
-    light = {
-        "logistic_regression": {"maxIter": 10}, "decision_tree": {"maxDepth": 3}, "svm": {"maxIter": 10},
-        "random_forest": {"numTrees": 5, "maxDepth": 3}, "gradient_boosting": {"maxIter": 3, "maxDepth": 3},
-    }
-    parts = [
-        models.score_rows(models.predict(models.train(n, train, **light[n]), test), n) for n in models.available_models()
-    ]
-    return evaluation.compare(reduce(lambda a, b: a.unionByName(b), parts))
+    return models.train_all(train, test)[2]
 
 
 @query("ml_train_all")
 def train_all(t: Inputs):
-    """Every enabled model with its defaults; the broken one is recorded and the others go on."""
+    """Every model that the training step enables, with its defaults."""
     train, test = model_rows(t)
-    config = {
-        "logistic_regression": {},
-        "decision_tree": {},
-        "random_forest": {},
-        "gradient_boosting": {"enabled": False},
-        "svm": {"maxIter": -1},
-    }
-    _, errors, table = models.train_all(train, test, config)
-    failed = t.spark.createDataFrame([(n, e) for n, e in errors.items()], "model string, error string")
-    return table.unionByName(failed, allowMissingColumns=True)
+    _, errors, table = models.train_all(train, test, ENABLED)
+    if errors:
+        raise RuntimeError(f"not trained: {errors}")
+    return table
 
 
 @query("ml_importance")
 def importance(t: Inputs):
-    split = split_stratified(t.stored_clean()).where("split = 'train'")
-    fitted = vectors.fit_vectors(split)
-    rows = cut_lineage(vectors.apply_vectors(fitted, split).select("features", "label"))
-    model = models.train("decision_tree", rows)
-    return models.importance(model, vectors.slot_names(rows))
+    """Of the best model by F1, and of the logistic regression, whose measure is the size of its
+    coefficients."""
+    split = split_stratified(t.stored_clean())
+    fitted = vectors.fit_vectors(split.where("split = 'train'"))
+    rows = store(vectors.apply_vectors(fitted, split).select(ID, "split", "label", "features", "scaled_features"), "vectors")
+    names = vectors.slot_names(vectors.apply_vectors(fitted, split))
+    ready = rows.select(ID, "split", "label", F.col("scaled_features").alias("features"))
+    train, test = (ready.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    found, _, table = models.train_all(train, test, ENABLED)
+    best = evaluation.best_model(table).head()["model"]
+    parts = [
+        models.importance(found[n], names).withColumn("model", F.lit(n)).withColumn("is_best", F.lit(n == best))
+        for n in dict.fromkeys([best, "logistic_regression"])
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 @query("vec_assemble", "SELECT customerID, 3 AS slots, tenure::DOUBLE AS f0, MonthlyCharges AS f1, TotalCharges AS f2 FROM clean")
@@ -162,7 +163,7 @@ def save_model(t: Inputs):
     """Every fitted model saved, and the best one under a name of its own."""
     train, test = model_rows(t)
     folder = shared_path(t.spark, "models")
-    fitted, _, table = models.train_all(train, test, {"logistic_regression": {}, "decision_tree": {}})
+    fitted, _, table = models.train_all(train, test)
     best = evaluation.best_model(table).head()["model"]
     saved = []
     for name, model in fitted.items():
@@ -346,7 +347,10 @@ def save_splits(t: Inputs):
 @query("src_splits", f"""WITH s AS (SELECT customerID AS id, (Churn = 'Yes')::INT AS y, {RANDOM_SQL} AS split FROM clean)
 SELECT id, y FROM s WHERE split = 'test'""")
 def read_splits(t: Inputs):
-    return readers.read_split(t.spark, saved_splits(t), "balanced", "test").select("id", "y")
+    """The test side is no part of the balancing, so only it is written for this."""
+    test = encoded_split(t).where("split = 'test'").select("id", "x", "y", F.lit(False).alias("synthetic"), "split", F.lit("balanced").alias("balance"))
+    path = sinks.write_split(test, shared_path(t.spark, "splits"))
+    return readers.read_split(t.spark, path, "balanced", "test").select("id", "y")
 
 
 @query("ev_balance_compare")
@@ -357,7 +361,7 @@ def balance_compare(t: Inputs):
     parts = []
     for variant in ("imbalanced", "balanced"):
         train = rows.where((F.col("split") == "train") & (F.col("balance") == variant))
-        for name in ("logistic_regression", "decision_tree"):
+        for name in ENABLED:
             model = models.train(name, train, balanced=False)
             parts.append(models.score_rows(models.predict(model, test), f"{name}: {variant}"))
     return evaluation.compare(reduce(lambda a, b: a.unionByName(b), parts))

@@ -126,12 +126,12 @@ def cumulative(t: Inputs):
     return ev.cumulative_scores(judged(t))
 
 
-@query("ev_roc", f"WITH {steps_sql()} SELECT score AS threshold, round(cn / an, 6) AS fpr, round(cp / ap, 6) AS tpr FROM cum")
+@query("ev_roc", f"WITH {steps_sql()} SELECT score AS threshold, round(cn / an, 6) AS fpr, round(cp / ap, 6) AS tpr FROM cum UNION ALL SELECT 'infinity'::DOUBLE, 0, 0")
 def roc(t: Inputs):
     return ev.roc_points(judged(t))
 
 
-@query("ev_pr", f"WITH {steps_sql()} SELECT score AS threshold, round(cp / (cp + cn), 6) AS precision, round(cp / ap, 6) AS recall FROM cum")
+@query("ev_pr", f"WITH {steps_sql()} SELECT score AS threshold, round(cp / (cp + cn), 6) AS precision, round(cp / ap, 6) AS recall FROM cum UNION ALL SELECT 'infinity'::DOUBLE, 1, 0")
 def pr(t: Inputs):
     return ev.pr_points(judged(t))
 

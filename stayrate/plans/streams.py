@@ -55,10 +55,13 @@ def events(t: Inputs):
     return to_events(t.subscribers, STAMP)
 
 
-@query("stm_sample")
+@query("stm_sample", f"""WITH e AS ({EVENTS_SQL}),
+r AS (SELECT *, row_number() OVER (ORDER BY customer_id) - 1 AS place, count(*) OVER () AS n FROM e),
+d AS (SELECT i, ('0x' || substr(md5('42:' || i), 1, 15))::BIGINT AS h FROM range(100) x(i))
+SELECT r.* EXCLUDE (place, n) FROM r JOIN d ON r.place = d.h % r.n""")
 def sample(t: Inputs, n: int = 100):
     """A seeded draw of ``n`` customers with replacement, as events."""
-    return to_events(sample_events(t.stored_subscribers(), n), STAMP)
+    return to_events(sample_events(t.subscribers, n), STAMP)
 
 
 # Every row's message, cut short on the wire when its id ends in 7.

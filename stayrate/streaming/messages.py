@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stayrate.functions.ranks import running_totals
 from stayrate.operators.scoring import iso_utc, to_event_fields
-from stayrate.schema import EVENT, EVENT_FIELDS, EVENT_TYPE
+from stayrate.schema import EVENT, EVENT_FIELDS, EVENT_TYPE, ID
 
 CORRUPT = "_corrupt"
 
@@ -49,13 +50,19 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.where(~F.col("valid")).select("value")
 
 
-def sample_events(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """``n`` subscribers drawn at random with replacement.
+def sample_events(df: DataFrame, n: int, seed: int = 42, key: str = ID) -> DataFrame:
+    """``n`` subscribers drawn at random with replacement; none if there are none.
 
-    Poisson sampling draws a few more than needed in parallel, then keeps ``n`` of them.
+    Draw ``i`` takes the subscriber whose place in key order is a hash of seed and ``i``, modulo the
+    number of keys. It does not depend on partitions, a task that runs again draws the same, and
+    exactly ``n`` rows come out of unique keys. Only keys are put in order; the drawn ones are then
+    joined with their rows.
     """
-    rows = df.count()
-    if rows == 0:
+    places = running_totals(df.select(key), [], key, {"one": F.max(F.lit(1))})
+    keys = places.count()
+    if not keys:
         return df
-    wanted = n + 6 * n**0.5 + 10
-    return df.sample(withReplacement=True, fraction=wanted / rows, seed=seed).orderBy(F.rand(seed)).limit(n)
+    number = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("id"))), 1, 15), 16, 10).cast("long")
+    draws = df.sparkSession.range(n).select((F.pmod(number, F.lit(keys)) + 1).alias("_place"))
+    drawn = places.join(draws, F.col("cum_one") == F.col("_place")).select(key)
+    return df.join(drawn, key).select(*df.columns)

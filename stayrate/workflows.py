@@ -13,7 +13,6 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayrate.functions.sizes import small_rows
 from stayrate.operators import cleaning, encoding, evaluation, features, models, quality, splitting
 from stayrate.schema import ID, TARGET
 from stayrate.session import store
@@ -64,7 +63,7 @@ def model_frame(df: DataFrame, names: list[str]) -> DataFrame:
 def train_run(spark: SparkSession, folder: str, config: dict[str, dict] | None = None) -> TrainedRun:
     """Train every configured model on the newest run, keep all of them and the best by F1."""
     rows = readers.latest_run(spark, f"{folder}/data")
-    run_ts = small_rows(rows.select("run_ts").distinct(), "newest run", 1)[0]["run_ts"]
+    run_ts = rows.select("run_ts").head()["run_ts"]  # the newest run has one name
     names = feature_list(spark, folder, run_ts)
 
     def side(name: str) -> DataFrame:

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayrate.functions.buckets import BUCKETS, equal_width_bin
-from stayrate.functions.sizes import TooLarge, small_rows
 from stayrate.operators import aggregate, cleaning, encoding, features, quality
 from stayrate.operators.statistics import chi_square, iqr_multi, iqr_report, z_outliers
 
@@ -143,11 +142,25 @@ def test_dummies_labels_and_ordinals(make):
     assert [r["Contract"] for r in encoding.label_encode(df.dropna(), ["Contract"], 1).orderBy("customerID").collect()] == [2, 1]
 
 
-def test_too_many_levels_is_an_error(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(TooLarge):
-        encoding.fit_levels(df, ["c"], max_levels=10)
-    assert len(small_rows(df, "rows", 50)) == 50
+def test_any_number_of_levels(spark):
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("c"))
+    assert len(encoding.fit_levels(df, ["c"])["c"]) == 20_000
+    codes = encoding.attach_codes(df.withColumn("id", F.col("c")), ["c"], "id")
+    assert codes.agg(F.count_distinct("code"), F.max("code")).head() == (20_000, 19_999)
+
+
+def test_missing_share_is_compared_before_rounding(spark):
+    """501 of 5000 cells are 10.02 percent: more than ten, though the text says 10.0."""
+    df = spark.range(5000).select(F.when(F.col("id") >= 501, F.col("id")).alias("a"))
+    line = quality.validation_report(df, ["a"]).where("check = 'missing'").head()
+    assert (line["status"], line["detail"]) == ("warning", "10.0% missing")
+    exact = spark.range(5000).select(F.when(F.col("id") >= 500, F.col("id")).alias("a"))
+    assert quality.validation_report(exact, ["a"]).where("check = 'missing'").head()["status"] == "ok"
+
+
+def test_equal_rows_are_told_by_value_and_place_of_nulls(spark):
+    rows = [("a", None), (None, "a"), ("a", None), ("a", "a"), (None, None), (None, None), (None, None)]
+    assert quality.duplicate_rows(spark.createDataFrame(rows, "x string, y string")).head()[0] == 3
 
 
 def test_scaling_of_a_constant_column(make):

@@ -117,6 +117,26 @@ def test_ranking_metrics_with_ties(spark):
     assert got["average_precision"] == pytest.approx((1 / 3) * (1 / 2) + (1 / 3) * (2 / 3) + (1 / 3) * (3 / 6), abs=1e-6)
 
 
+def test_area_under_the_saved_points(spark):
+    rows = frame(spark, [((i * 7) % 5 // 3, 1, (i * 37 % 11) / 11) for i in range(60)])
+    auc = ev.ranking_metrics(rows).head()["roc_auc"]
+    points = sorted((r["fpr"], r["tpr"]) for r in ev.roc_points(rows).collect())
+    assert points[0] == (0.0, 0.0) and points[-1] == (1.0, 1.0)
+    area = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:]))
+    assert area == pytest.approx(auc, abs=1e-4)
+    assert (0.0, 1.0) in {(r["recall"], r["precision"]) for r in ev.pr_points(rows).collect()}
+    by = rows.select(F.lit("m").alias("model"), "*")
+    assert ev.roc_points(by, ["model"]).count() == len(points)
+
+
+def test_draws_repeat_and_do_not_depend_on_partitions(spark, make):
+    df = make(*[{"tenure": i} for i in range(40)])
+    first = sorted(map(str, sample_events(df, 30).collect()))
+    assert first == sorted(map(str, sample_events(df.repartition(7), 30).collect()))
+    assert first != sorted(map(str, sample_events(df, 30, seed=1).collect()))
+    assert sample_events(df.limit(0), 30).count() == 0
+
+
 def test_single_class_and_zero_division(spark):
     rows = frame(spark, [(0, 0, 0.2), (0, 0, 0.4)])
     metrics = ev.basic_metrics(ev.confusion(rows)).head()

@@ -15,6 +15,13 @@ def test_student_tail(t, dof, p):
     assert t_two_sided(t, dof) == pytest.approx(p, rel=1e-9)
 
 
+@pytest.mark.parametrize("dof", [1.1e6, 1e8, 1e12, 1e14, 1e16])
+def test_student_tail_of_many_degrees_of_freedom(dof):
+    """Towards the normal tail, 0.31731050786291415 at 1; the difference falls as 1/dof."""
+    assert t_two_sided(1.0, dof) == pytest.approx(0.31731050786291415 + 0.24197072451914337 / dof, rel=1e-12)
+    assert t_two_sided(2.5, 0.999e6) == pytest.approx(t_two_sided(2.5, 1.001e6), rel=1e-6)
+
+
 def test_far_tails_stay_finite():
     assert 0 <= chi2_tail(2000.0, 3) < 1e-300 or chi2_tail(2000.0, 3) == 0.0
     assert 0 <= t_two_sided(60.0, 5000.0) < 1e-100

@@ -16,9 +16,10 @@ def people(spark):
     )
 
 
-@pytest.mark.parametrize("digits", [1, 3])
-def test_stratified_quota_is_exact_for_every_label(people, digits):
-    split = split_stratified(people, digits=digits)
+@pytest.mark.parametrize(("digits", "ranked"), [(1, 10_000), (3, 10_000), (1, 20)])
+def test_stratified_quota_is_exact_for_every_label(people, digits, ranked):
+    """With few rows to rank, the prefix is refined until no task ranks more."""
+    split = split_stratified(people, digits=digits, ranked=ranked)
     assert split.count() == people.count()
     sizes = {r["Churn"]: r["n"] for r in people.groupBy("Churn").agg(F.count(F.lit(1)).alias("n")).collect()}
     tests = {r["Churn"]: r["n"] for r in split.where("split = 'test'").groupBy("Churn").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -37,6 +38,13 @@ def test_no_test_rows_when_the_quota_is_zero(people):
     assert {r["split"] for r in split_stratified(people, test_size=1.0).select("split").distinct().collect()} == {"test"}
 
 
+def test_any_number_of_labels(spark):
+    many = spark.range(40_000).select(F.concat(F.lit("c"), "id").alias("customerID"), (F.col("id") % 20_000).cast("string").alias("Churn"))
+    split = split_stratified(many, test_size=0.5)
+    assert split.where("split = 'test'").groupBy("Churn").count().agg(F.count("*"), F.max("count")).head() == (20_000, 1)
+    assert with_class_weight(many).agg(F.min("weight"), F.max("weight")).head() == (1.0, 1.0)
+
+
 def test_balanced_weights(spark):
     df = spark.createDataFrame([("Yes",)] * 2 + [("No",)] * 6, "Churn string")
     assert {r["Churn"]: r["weight"] for r in class_weights(df).collect()} == {"Yes": 2.0, "No": pytest.approx(8 / 12)}
