@@ -12,9 +12,9 @@ of the corpus' paragraphs as plain text (those that hold half of a template's pa
 * A prediction is confirmed if the paragraph holds ``CONFIRM`` of the word pairs of one of the
   family's templates.
 
-Scoring is row by row: a document's paragraphs are tested for any word that speaks for a licence
-(without one no class but plain text can win), and only those are scored, by the model's few
-weights as literals. Nothing is shuffled.
+Scoring is row by row: paragraphs are tested for words without which no class but plain text can win
+(``LicenceModel.gate``), and only those that hold one are scored, by the model's few weights as
+literals. Nothing is shuffled.
 
 A NULL text counts as empty and has no paragraphs. Repeated paragraphs count each time.
 """
@@ -22,6 +22,7 @@ A NULL text counts as empty and has no paragraphs. Repeated paragraphs count eac
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -35,6 +36,9 @@ PLAIN, UNKNOWN = "none", "unknown"
 #: Paragraphs of the corpus used as plain text, from documents chosen by a hash of their text.
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_ROWS = 4000
+BESIDE = 24
+#: Grams in more than this share of plain paragraphs are no features.
+COMMON = 0.005
 LASSO = 0.001
 LEAST = 0.5
 CONFIRM = 0.8
@@ -117,7 +121,7 @@ def template_rows(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.inline(entries)).withColumn("grams", grams_of(words_of(F.col("text"))))
 
 
-def training_rows(docs: DataFrame, templates: DataFrame, text: str) -> DataFrame:
+def training_rows(docs: DataFrame, templates: DataFrame, text: str, scratch: Scratch) -> DataFrame:
     """(label, grams, fold): plain paragraphs of a bounded sample, and the templates in several
     forms, each with some of those paragraphs around it."""
     lines = (
@@ -127,14 +131,16 @@ def training_rows(docs: DataFrame, templates: DataFrame, text: str) -> DataFrame
         .withColumn("order", F.xxhash64(F.lit(1), "line"))
     )
     # What holds half of a template is no plain text.
-    known = templates.where(F.col("label") != UNKNOWN).agg(F.collect_list("grams").alias("known"))
-    grams = lines.crossJoin(F.broadcast(known)).withColumn("grams", grams_of(words_of(F.col("line"))))
-    licence = F.exists("known", lambda t: F.size(F.array_intersect("grams", t)) * 2 >= F.size(t))
+    known = F.array(*[F.array(*[F.lit(g) for g in r["grams"]]) for r in templates.where(F.col("label") != UNKNOWN).collect()])
+    # Stored, as a filter would compute the grams anew for every template.
+    grams = scratch.store(lines.withColumn("grams", grams_of(words_of(F.col("line")))), "paragraphs")
+    licence = F.exists(known, lambda t: F.size(F.array_intersect("grams", t)) * 2 >= F.size(t))
     plain = grams.where(~licence).select(F.lit(PLAIN).alias("label"), "line", "order")
-    beside = plain.orderBy("order").limit(24).select(F.substring("line", 1, 80).alias("beside"), (F.pmod("order", F.lit(3))).alias("side"))
-    # 24 rows times the templates: both sides are fixed in number.
+    # Some paragraphs, each with every template: both are fixed in number.
+    beside = plain.orderBy("order").limit(BESIDE).select(F.substring("line", 1, 80).alias("beside"), F.pmod("order", F.lit(3)).alias("side"))
+    notices = F.array(*[F.struct(F.lit(k).alias("label"), F.lit(t).alias("text")) for k, each in TEMPLATES.items() for t in each])
     placed = F.when(F.col("side") == 0, F.concat_ws(" ", "beside", "text")).when(F.col("side") == 1, F.concat_ws(" ", "text", "beside")).otherwise(F.upper("text"))
-    around = templates.crossJoin(F.broadcast(beside)).select("label", placed.alias("line"))
+    around = beside.select("beside", "side", F.inline(notices)).select("label", placed.alias("line"))
     alone = templates.select("label", F.col("text").alias("line"))
     rows = plain.select("label", "line").unionAll(alone).unionAll(alone).unionAll(alone).unionAll(around)
     return rows.select("label", grams_of(words_of(F.col("line"))).alias("grams"), F.pmod(F.xxhash64("line"), F.lit(4)).alias("fold"))
@@ -148,38 +154,58 @@ class LicenceModel:
     bound: float
     templates: dict[str, list[list[str]]]
 
-    def gate(self) -> str:
-        """A pattern that any paragraph must match for a class other than plain text to be likelier:
-        a word of a gram that favours such a class over plain text."""
-        plain = self.classes.index(PLAIN)
-        words = {max(g.split(), key=len) for g, w in self.weights.items() if any(x > w[plain] for x in w)}
-        return r"(?i)(?<![\p{L}\p{N}.])(?:" + "|".join(sorted(w.replace(".", r"\.") for w in words)) + r")(?![\p{L}\p{N}])"
+    def gate(self) -> list[str]:
+        """Words of which a paragraph must hold one for any class to be likelier than plain text.
 
-    def judged(self, line: Column) -> Column:
-        """struct(family, probability, confirmed) of a paragraph."""
-        grams = grams_of(words_of(line))
-        count = len(self.classes)
+        Each gram has a margin, the most it adds to another class over plain text. Grams of small
+        margins, all together, do not make up for plain text's lead in the intercepts; so one of the
+        others must be there, and with it the longest of its words.
+        """
+        plain = self.classes.index(PLAIN)
+        lead = self.intercepts[plain] - max(b for i, b in enumerate(self.intercepts) if i != plain)
+        margins = sorted((max(w) - w[plain], g) for g, w in self.weights.items() if max(w) > w[plain])
+        words: set[str] = set()
+        for margin, gram in margins:
+            lead -= margin
+            if lead <= 0:
+                words.add(max(gram.split(), key=len))
+        return sorted(words)
+
+    def gate_pattern(self) -> str:
+        """The gate's words as whole words."""
+        words = "|".join(w.replace(".", r"\.") for w in self.gate()) or "(?!)"
+        return rf"(?<![\p{{L}}\p{{N}}.])(?:{words})(?![\p{{L}}\p{{N}}])"
+
+    def holds_any(self, lowered: Column) -> Column:
+        """Whether a lower-cased text holds a word of the gate; a longer word that holds it may pass."""
+        return reduce(Column.__or__, [F.contains(lowered, F.lit(w)) for w in self.gate()], F.lit(False))
+
+    def judged(self, lines: Column) -> Column:
+        """Of an array of struct(line, text): struct(line, family, probability, confirmed). Each
+        transform() names what the next one uses more than once, so that it is computed once."""
         table = F.create_map(*[x for g, w in self.weights.items() for x in (F.lit(g), F.array(*[F.lit(float(v)) for v in w]))])
         start = F.array(*[F.lit(float(b)) for b in self.intercepts])
-        known = F.array_intersect(grams, F.array(*[F.lit(g) for g in self.weights]))
-        totals = F.aggregate(known, start, lambda a, g: F.zip_with(a, F.element_at(table, g), lambda x, y: x + y))
-
-        def chances(t: Column) -> Column:
-            powers = F.transform(t, lambda x: F.exp(x - F.array_max(t)))
-            return F.transform(powers, lambda x: x / F.aggregate(powers, F.lit(0.0), lambda a, y: a + y))
-
-        def decide(p: Column) -> Column:
-            best = F.array_max(p)
-            name = F.element_at(F.array(*[F.lit(c) for c in self.classes]), F.array_position(p, best).cast("int"))
-            family = F.when((name != PLAIN) & (best < self.bound), F.lit(UNKNOWN)).otherwise(name)
-            return F.struct(family.alias("family"), best.alias("probability"))
-
-        def confirm(d: Column) -> Column:
-            return F.struct(d["family"].alias("family"), d["probability"].alias("probability"), self.confirmed(d["family"], grams).alias("confirmed"))
-
-        # transform() of a one-element array names an intermediate result, so that it is computed once.
-        first = F.transform(F.array(totals), chances)
-        return F.element_at(F.transform(F.transform(first, decide), confirm), 1)
+        names, weighed = F.array(*[F.lit(c) for c in self.classes]), F.array(*[F.lit(g) for g in self.weights])
+
+        def powers(x: Column) -> Column:
+            known = F.array_intersect(x["grams"], weighed)
+            totals = F.aggregate(known, start, lambda a, g: F.zip_with(a, F.element_at(table, g), lambda u, v: u + v))
+            return F.struct(x["line"].alias("line"), x["grams"].alias("grams"), F.transform(totals, lambda t: F.exp(t)).alias("powers"))
+
+        def decide(x: Column) -> Column:
+            best = F.array_max(x["powers"])
+            chance = best / F.aggregate(x["powers"], F.lit(0.0), lambda a, y: a + y)
+            name = F.element_at(names, F.array_position(x["powers"], best).cast("int"))
+            family = F.when((name != PLAIN) & (chance < self.bound), F.lit(UNKNOWN)).otherwise(name)
+            return F.struct(x["line"].alias("line"), x["grams"].alias("grams"), family.alias("family"), chance.alias("probability"))
+
+        def confirm(x: Column) -> Column:
+            return F.struct(x["line"].alias("line"), x["family"].alias("family"), x["probability"].alias("probability"), self.confirmed(x["family"], x["grams"]).alias("confirmed"))
+
+        out = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), grams_of(words_of(x["text"])).alias("grams")))
+        for step in (powers, decide, confirm):
+            out = F.transform(out, step)
+        return out
 
     def confirmed(self, family: Column, grams: Column) -> Column:
         out = F.lit(False)
@@ -200,9 +226,14 @@ def fit(docs: DataFrame, text: str = "text") -> LicenceModel:
     vocabulary = sorted({g for r in listed for g in r["grams"]})
     classes = [PLAIN, *TEMPLATES]
     code = F.element_at(F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))]), F.col("label"))
+    rows = scratch.store(training_rows(docs, templates, text, scratch).select(code.alias("label"), "grams", "fold").coalesce(4), "licences")
+    plain = rows.where("label = 0").select(F.explode(F.array_intersect("grams", F.array(*[F.lit(g) for g in vocabulary]))).alias("gram"))
+    often = {r["gram"]: r["count"] for r in plain.groupBy("gram").count().collect()}
+    most = COMMON * rows.where("label = 0").count()
+    vocabulary = [g for g in vocabulary if often.get(g, 0) <= most]
     names = F.array(*[F.lit(g) for g in vocabulary])
-    holds = F.transform(names, lambda g: F.array_contains("grams", g).cast("double"))
-    rows = scratch.store(training_rows(docs, templates, text).select(code.alias("label"), holds.alias("holds"), "fold").coalesce(4), "licences")
+    holds = F.transform(names, lambda g: F.array_contains("grams", g).cast("double")).alias("holds")
+    rows = scratch.store(rows.select("label", "fold", holds), "vectors")
     vectors = rows.select("label", "fold", array_to_vector("holds").alias("features"))
     lasso = LogisticRegression(family="multinomial", elasticNetParam=1.0, regParam=LASSO, maxIter=60, standardization=False)
     # Every class has templates in each fold but for the smallest; fold 0 calibrates.
@@ -212,7 +243,7 @@ def fit(docs: DataFrame, text: str = "text") -> LicenceModel:
     from pyspark.ml.functions import vector_to_array
 
     least = held.agg(F.min(F.array_max(vector_to_array("probability")))).first()[0]
-    scratch.drop("licences")
+    scratch.drop("paragraphs", "licences", "vectors")
     size = matrix.shape[0]
     weights = {g: [float(x) for x in matrix[:, i]] for i, g in enumerate(vocabulary) if abs(matrix[:, i]).max() > 1e-9}
     shown = {}
@@ -228,14 +259,13 @@ def scanned(docs: DataFrame, model: LicenceModel, text: str = "text") -> DataFra
     ``has_unknown``."""
     docs = without(docs, "n_paragraphs", "notices", "licenses", "has_unknown")
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    gate = F.lit(model.gate())
-    numbered = F.filter(F.transform(lines, lambda x, i: F.struct((i + 1).alias("line"), x.alias("text"))), lambda x: F.regexp_like(x["text"], gate))
-    named = F.transform(numbered, lambda x: F.struct(x["line"].alias("line"), model.judged(x["text"]).alias("is")))
-    notices = F.transform(
-        F.filter(named, lambda x: x["is"]["family"] != PLAIN),
-        lambda x: F.struct(x["line"].alias("line"), *[x["is"][c].alias(c) for c in ("family", "probability", "confirmed")]),
-    )
-    found = docs.withColumns({"n_paragraphs": F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))).cast("long"), "notices": notices})
+    numbered = F.transform(lines, lambda x, i: F.struct((i + 1).alias("line"), x.alias("text")))
+    gated = F.filter(numbered, lambda x: F.regexp_like(F.lower(x["text"]), F.lit(model.gate_pattern())))
+    # Most documents are done with one look at the whole text.
+    candidates = F.when(model.holds_any(F.lower(F.coalesce(F.col(text), F.lit("")))), gated).otherwise(F.array().cast("array<struct<line:int,text:string>>"))
+    notices = F.filter(model.judged(candidates), lambda x: x["family"] != PLAIN)
+    count = F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))).cast("long")
+    found = docs.withColumns({"n_paragraphs": count, "notices": notices})
     sure = F.filter("notices", lambda x: x["confirmed"] & (x["family"] != UNKNOWN))
     return found.withColumns({
         "licenses": F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))),
