@@ -1,7 +1,9 @@
 """License scans: a trained paragraph classifier, with DataFrame functions only.
 
 A paragraph is a line of a document; its words are lower-cased runs of letters, digits and dots, and
-its features the distinct words and pairs of neighbouring words. A multinomial logistic regression
+its features the distinct words and pairs of neighbouring words. Notices may be wrapped: neighbouring
+lines with words are also joined and scored as one, as far as the longest template goes. A
+multinomial logistic regression
 with a lasso penalty tells licence families, other legal notices (*unknown*) and plain text apart.
 It is trained on the templates below, whole, cut and with text around them, and on a bounded sample
 of the corpus' paragraphs as plain text (those that hold half of a template's pairs are left out).
@@ -11,16 +13,22 @@ of the corpus' paragraphs as plain text (those that hold half of a template's pa
   it is the smallest probability of the rows it gets right, but at least ``LEAST``.
 * A prediction is confirmed if the paragraph holds ``CONFIRM`` of the word pairs of one of the
   family's templates.
+* Joined lines are a notice if they hold ``CONFIRM`` of the word pairs of a template of their class
+  (of any template if the class is *unknown*) and no fewer of them do. A line in such a notice that
+  is not confirmed by itself belongs to it and is no notice of its own.
 
 Scoring is row by row: paragraphs are tested for words without which no class but plain text can win
 (``LicenceModel.gate``), and only those that hold one are scored, by the model's few weights as
-literals. Nothing is shuffled.
+literals; lines are joined around words without which no template can be held
+(``LicenceModel.anchors``). Nothing is shuffled.
 
 A NULL text counts as empty and has no paragraphs. Repeated paragraphs count each time.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,6 +39,7 @@ from pyspark.sql import functions as F
 
 from stayrate.llm.scratch import Scratch, without
 
+RUNS = "array<struct<line:struct<first:int,last:int>,text:string>>"
 WORD = r"[\p{L}\p{N}.]*[\p{L}\p{N}]"
 PLAIN, UNKNOWN = "none", "unknown"
 #: Paragraphs of the corpus used as plain text, from documents chosen by a hash of their text.
@@ -115,6 +124,22 @@ def grams_of(words: Column) -> Column:
     return F.array_distinct(F.concat(words, pairs_of(words)))
 
 
+def named(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def whole_words(words: list[str]) -> str:
+    """Pattern of any of ``words`` as a whole word."""
+    either = "|".join(w.replace(".", r"\.") for w in words) or "(?!)"
+    return rf"(?<![\p{{L}}\p{{N}}.])(?:{either})(?![\p{{L}}\p{{N}}])"
+
+
+def holds_one(lowered: Column, words: list[str]) -> Column:
+    """Whether a lower-cased text holds one of ``words``; a longer word that holds it may pass."""
+    return reduce(Column.__or__, [F.contains(lowered, F.lit(w)) for w in words], F.lit(False))
+
+
 def template_rows(spark: SparkSession) -> DataFrame:
     """(label, text, grams) of all templates."""
     entries = F.array(*[F.struct(F.lit(k).alias("label"), F.lit(t).alias("text")) for k, each in TEMPLATES.items() for t in each])
@@ -173,15 +198,83 @@ class LicenceModel:
 
     def gate_pattern(self) -> str:
         """The gate's words as whole words."""
-        words = "|".join(w.replace(".", r"\.") for w in self.gate()) or "(?!)"
-        return rf"(?<![\p{{L}}\p{{N}}.])(?:{words})(?![\p{{L}}\p{{N}}])"
+        return whole_words(self.gate())
 
     def holds_any(self, lowered: Column) -> Column:
         """Whether a lower-cased text holds a word of the gate; a longer word that holds it may pass."""
-        return reduce(Column.__or__, [F.contains(lowered, F.lit(w)) for w in self.gate()], F.lit(False))
+        return holds_one(lowered, self.gate())
+
+    def anchors(self) -> list[str]:
+        """Words of which a text must hold one to hold ``CONFIRM`` of any template's pairs: of each
+        template, the longest words that stand in more of its pairs than may be missing."""
+        found: set[str] = set()
+        for template in (t for each in self.templates.values() for t in each):
+            missing, met = len(template) - math.ceil(CONFIRM * len(template)), set()
+            for word in sorted({w for g in template for w in g.split()}, key=lambda w: (-len(w), w)):
+                if len(met) > missing:
+                    break
+                found.add(word)
+                met |= {g for g in template if word in g.split()}
+        return sorted(found)
+
+    def joined(self, lines: Column) -> Column:
+        """Array of struct(line: struct(first, last), text) of all runs of two lines and more that
+        hold an anchor. A run has words in every line, and is not carried on once the lines after
+        its first hold as many words as the longest template."""
+        longest = max((len(t) + 1 for each in self.templates.values() for t in each), default=0)
+        anchor = F.lit(whole_words(self.anchors()))
+        rows = F.transform(lines, lambda x, i: F.struct(
+            (i + 1).alias("line"), x.alias("text"), F.size(words_of(x)).alias("n"), F.regexp_like(F.lower(x), anchor).alias("anchor")
+        ))
+
+        def state(going: Column, n: Column, text: Column, anchor: Column, runs: Column) -> Column:
+            return F.struct(going.alias("going"), n.alias("n"), text.alias("text"), anchor.alias("anchor"), runs.alias("runs"))
+
+        def runs_from(x: Column, after: Column) -> Column:
+            def add(a: Column, y: Column) -> Column:
+                text, anchor = F.concat_ws(" ", a["text"], y["text"]), a["anchor"] | y["anchor"]
+                run = F.struct(F.struct(x["line"].alias("first"), y["line"].alias("last")).alias("line"), text.alias("text"))
+                more = state(F.lit(True), a["n"] + y["n"], text, anchor, F.when(anchor, F.concat(a["runs"], F.array(run))).otherwise(a["runs"]))
+                return F.when(a["going"] & (y["n"] > 0) & (a["n"] < longest), more).otherwise(state(F.lit(False), a["n"], a["text"], a["anchor"], a["runs"]))
+
+            return F.aggregate(after, state(F.lit(True), F.lit(0), x["text"], x["anchor"], F.array().cast(RUNS)), add, lambda a: a["runs"])
+
+        def runs(rows: Column) -> Column:
+            first = F.filter(rows, lambda x: (x["n"] > 0) & F.exists(F.slice(rows, x["line"], longest + 1), lambda y: y["anchor"]))
+            return F.flatten(F.transform(first, lambda x: runs_from(x, F.slice(rows, x["line"] + 1, longest))))
+
+        return named(rows, runs)
+
+    def notices(self, judged: Column) -> Column:
+        """Of judged lines and runs: the notices, by line. Only what lies near in the order by lines
+        can be a part of a run or hold it, so each is compared with a bounded number."""
+        longest = max((len(t) + 1 for each in self.templates.values() for t in each), default=0)
+        reach = (longest + 1) * (longest + 2)
+
+        def near(all_: Column, i: Column) -> Column:
+            return F.slice(all_, F.greatest(i + 1 - reach, F.lit(1)), 2 * reach + 1)
+
+        def within(x: Column, y: Column) -> Column:
+            return (y["line"]["first"] <= x["line"]["first"]) & (x["line"]["last"] <= y["line"]["last"])
+
+        def several(x: Column) -> Column:
+            return x["line"]["first"] < x["line"]["last"]
+
+        def least(all_: Column) -> Column:
+            return F.filter(all_, lambda x, i: ~several(x) | ~F.exists(
+                near(all_, i), lambda y: y["held"] & (y["family"] == x["family"]) & within(y, x) & (y["line"] != x["line"])
+            ))
+
+        def apart(all_: Column) -> Column:
+            return F.filter(all_, lambda x, i: several(x) | x["confirmed"] | ~F.exists(near(all_, i), lambda y: several(y) & within(x, y)))
+
+        found = F.array_sort(F.filter(judged, lambda x: (x["family"] != PLAIN) & (~several(x) | x["held"])))
+        return F.transform(named(named(found, least), apart), lambda x: F.struct(
+            x["line"]["first"].alias("line"), x["family"].alias("family"), x["probability"].alias("probability"), x["confirmed"].alias("confirmed")
+        ))
 
     def judged(self, lines: Column) -> Column:
-        """Of an array of struct(line, text): struct(line, family, probability, confirmed). Each
+        """Of an array of struct(line, text): struct(line, family, probability, confirmed, held). Each
         transform() names what the next one uses more than once, so that it is computed once."""
         table = F.create_map(*[x for g, w in self.weights.items() for x in (F.lit(g), F.array(*[F.lit(float(v)) for v in w]))])
         start = F.array(*[F.lit(float(b)) for b in self.intercepts])
@@ -200,10 +293,16 @@ class LicenceModel:
             return F.struct(x["line"].alias("line"), x["grams"].alias("grams"), family.alias("family"), chance.alias("probability"))
 
         def confirm(x: Column) -> Column:
-            return F.struct(x["line"].alias("line"), x["family"].alias("family"), x["probability"].alias("probability"), self.confirmed(x["family"], x["grams"]).alias("confirmed"))
+            sure = F.when(x["family"].isin(PLAIN, UNKNOWN), F.lit(False)).otherwise(self.confirmed(x["family"], x["grams"]))
+            return F.struct(x["line"].alias("line"), x["family"].alias("family"), x["probability"].alias("probability"), x["grams"].alias("grams"), sure.alias("confirmed"))
+
+        def hold(x: Column) -> Column:
+            any_held = reduce(Column.__or__, [self.confirmed(F.lit(k), x["grams"]) for k in self.templates], F.lit(False))
+            held = F.when(x["family"] == UNKNOWN, any_held).otherwise(x["confirmed"])
+            return F.struct(x["line"].alias("line"), x["family"].alias("family"), x["probability"].alias("probability"), x["confirmed"].alias("confirmed"), held.alias("held"))
 
         out = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), grams_of(words_of(x["text"])).alias("grams")))
-        for step in (powers, decide, confirm):
+        for step in (powers, decide, confirm, hold):
             out = F.transform(out, step)
         return out
 
@@ -248,22 +347,23 @@ def fit(docs: DataFrame, text: str = "text") -> LicenceModel:
     weights = {g: [float(x) for x in matrix[:, i]] for i, g in enumerate(vocabulary) if abs(matrix[:, i]).max() > 1e-9}
     shown = {}
     for r in listed:
-        if r["label"] != UNKNOWN:
-            shown.setdefault(r["label"], []).append([g for g in r["grams"] if " " in g] or list(r["grams"]))
+        shown.setdefault(r["label"], []).append([g for g in r["grams"] if " " in g] or list(r["grams"]))
     return LicenceModel(classes[:size], [float(x) for x in intercepts], weights, max(LEAST, least or LEAST), shown)
 
 
 def scanned(docs: DataFrame, model: LicenceModel, text: str = "text") -> DataFrame:
-    """``docs`` with ``n_paragraphs`` (lines with a word), ``notices`` (line number, family,
-    probability, confirmed; of lines that are not plain text), ``licenses`` (confirmed families) and
-    ``has_unknown``."""
+    """``docs`` with ``n_paragraphs`` (lines with a word), ``notices`` (number of the first line,
+    family, probability, confirmed; of lines and joined lines that are not plain text), ``licenses``
+    (confirmed families) and ``has_unknown``."""
     docs = without(docs, "n_paragraphs", "notices", "licenses", "has_unknown")
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    numbered = F.transform(lines, lambda x, i: F.struct((i + 1).alias("line"), x.alias("text")))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    lines = F.split(whole, "\n")
+    numbered = F.transform(lines, lambda x, i: F.struct(F.struct((i + 1).alias("first"), (i + 1).alias("last")).alias("line"), x.alias("text")))
     gated = F.filter(numbered, lambda x: F.regexp_like(F.lower(x["text"]), F.lit(model.gate_pattern())))
     # Most documents are done with one look at the whole text.
-    candidates = F.when(model.holds_any(F.lower(F.coalesce(F.col(text), F.lit("")))), gated).otherwise(F.array().cast("array<struct<line:int,text:string>>"))
-    notices = F.filter(model.judged(candidates), lambda x: x["family"] != PLAIN)
+    candidates = F.when(model.holds_any(F.lower(whole)), gated).otherwise(F.array().cast(RUNS))
+    runs = F.when(holds_one(F.lower(whole), model.anchors()), model.joined(lines)).otherwise(F.array().cast(RUNS))
+    notices = model.notices(model.judged(F.concat(candidates, runs)))
     count = F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))).cast("long")
     found = docs.withColumns({"n_paragraphs": count, "notices": notices})
     sure = F.filter("notices", lambda x: x["confirmed"] & (x["family"] != UNKNOWN))

@@ -62,3 +62,54 @@ def test_edge_rows(edges, none, model):
     assert licenses.scanned(edges, model).count() == len(edge_rows())
     assert licenses.scanned(none, model).collect() == []
     assert licenses.scanned(none, licenses.fit(none)).collect() == []
+
+
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+    "GPL-3.0": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.""",
+    "LGPL": """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 3 of the License, or (at your option) any later version.""",
+    "BSD-3-Clause": """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are
+# met:""",
+    "Apache-2.0": """// Licensed under the Apache License,
+// Version 2.0 (the "License"); you may not
+// use this file except in compliance with
+// the License.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of
+the Mozilla Public License, v. 2.0.""",
+    "CC-BY-SA-4.0": """This work is licensed under a Creative Commons
+Attribution-ShareAlike 4.0
+International License.""",
+}
+
+
+def test_wrapped_notices(spark, model):
+    rows = [(i, f"{phrase(i, 40)}\n{notice}\n{phrase(i + 9, 30)}") for i, notice in enumerate(WRAPPED.values())]
+    rows += [(i + 50, "\r\n".join(w for w in notice.split() if w not in ("*", "#", "//"))) for i, notice in enumerate(WRAPPED.values())]
+    rows += [(90, WRAPPED["MIT"].replace("\n", "\n\n")), (91, "\n\n".join(WRAPPED.values())), (92, "Unauthorized copying of this\nfile is strictly prohibited.")]
+    got = {r["doc_id"]: r for r in licenses.scanned(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    for i, family in enumerate(WRAPPED):
+        assert got[i]["licenses"] == [family]
+        assert sum(n["confirmed"] for n in got[i]["notices"]) == 1
+        assert got[i + 50]["licenses"] == [family]
+    assert not got[90]["licenses"], "blank lines part paragraphs"
+    assert got[91]["licenses"] == sorted(WRAPPED)
+    assert got[92]["has_unknown"] and not got[92]["licenses"]
+
+
+def test_anchors_lose_nothing(model):
+    """Whoever leaves out all anchors leaves too little of every template."""
+    for template in (t for each in model.templates.values() for t in each):
+        left = [g for g in template if not set(g.split()) & set(model.anchors())]
+        assert len(left) < licenses.CONFIRM * len(template)
