@@ -32,7 +32,9 @@ from stayrate.llm.scratch import without
 # elements that begin a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title".split())
-UNSEEN = frozenset("audio button canvas head iframe map math noscript object select svg template video".split())
+UNSEEN = frozenset("annotation annotation-xml audio button canvas head iframe map noscript object select svg template video".split())
+#: Start tags that leave an open head open; any other one, and text, ends it.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody "
@@ -84,6 +86,8 @@ def parse(source: str) -> Page:
     unseen = 0  # open elements whose text is not shown
 
     def text(part: str) -> None:
+        if page.tags[stack[-1]] == "head" and part.strip(" \t\n\f\r"):
+            close({"head"}, set())
         if part and not unseen:
             page.add(TEXT, "", stack[-1], html.unescape(part), block)
 
@@ -116,6 +120,9 @@ def parse(source: str) -> Page:
             else:
                 close({name}, set())
             continue
+        # A head may lack its end tag.
+        if name == "body" or (page.tags[stack[-1]] == "head" and name not in IN_HEAD):
+            close({"head"}, set())
         if name in RAW:
             # Its text goes on to its end tag, whatever stands in it.
             end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(source, at)

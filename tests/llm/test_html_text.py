@@ -74,3 +74,25 @@ def test_messages_give_exact_marginals(model):
             ones[i] += p * y[i]
     for got, one in zip(model.marginals(page), ones):
         assert math.isclose(got, one / total, abs_tol=1e-9)
+
+
+ARTICLE = "<article><h1>Title</h1><p>The text of it all.</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>t</title><body>" + ARTICLE,
+    "<!doctype html><head><meta charset=utf-8><title>t</title><link rel=x href=y><style>p{}</style>" + ARTICLE,
+    "<html><head><title>t</title><noscript><img src=x></noscript><script>1</script></head><body>" + ARTICLE + "</body></html>",
+    "<html><head><noscript><link href=x><body>" + ARTICLE,
+])
+def test_head_without_end_tag(model, page):
+    assert html_text.main_text(model, page) == "Title\nThe text of it all."
+
+
+def test_text_ends_a_head(model):
+    assert html_text.main_text(model, "<head><title>t</title>\n Just some text.") == "Just some text."
+
+
+def test_formulas_are_shown(model):
+    formula = "<math><semantics><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='application/x-tex'>a = {2}</annotation></semantics></math>"
+    assert html_text.main_text(model, f"<article><p>It holds that {formula} for all of them.</p></article>") == "It holds that a=2 for all of them."
