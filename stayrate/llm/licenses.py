@@ -6,7 +6,8 @@ lines with words are also joined and scored as one, as far as the longest templa
 multinomial logistic regression
 with a lasso penalty tells licence families, other legal notices (*unknown*) and plain text apart.
 It is trained on the templates below, whole, cut and with text around them, and on a bounded sample
-of the corpus' paragraphs as plain text (those that hold half of a template's pairs are left out).
+of the corpus' paragraphs as plain text: distinct ones of distinct documents, without those that hold
+half of a template's grams. All grams of the templates are features; the lasso chooses among them.
 
 * A paragraph whose likeliest class is a family is *unknown* after all if that family's probability
   is below a bound. The bound is calibrated on labelled rows that the model was not fitted on:
@@ -42,12 +43,10 @@ from stayrate.llm.scratch import Scratch, without
 RUNS = "array<struct<line:struct<first:int,last:int>,text:string>>"
 WORD = r"[\p{L}\p{N}.]*[\p{L}\p{N}]"
 PLAIN, UNKNOWN = "none", "unknown"
-#: Paragraphs of the corpus used as plain text, from documents chosen by a hash of their text.
+#: Distinct paragraphs of the corpus used as plain text, from distinct texts chosen by their hash.
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_ROWS = 4000
 BESIDE = 24
-#: Grams in more than this share of plain paragraphs are no features.
-COMMON = 0.005
 LASSO = 0.001
 LEAST = 0.5
 CONFIRM = 0.8
@@ -149,14 +148,17 @@ def template_rows(spark: SparkSession) -> DataFrame:
 def training_rows(docs: DataFrame, templates: DataFrame, text: str, scratch: Scratch) -> DataFrame:
     """(label, grams, fold): plain paragraphs of a bounded sample, and the templates in several
     forms, each with some of those paragraphs around it."""
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("_text"), F.xxhash64(text).alias("_hash"))
+    # Copies count once; only hashes are moved to choose.
+    chosen = texts.select("_hash").distinct().orderBy("_hash").limit(SAMPLE_DOCUMENTS)
     lines = (
-        docs.where(F.col(text).isNotNull()).select(F.col(text).alias("_text")).orderBy(F.xxhash64("_text")).limit(SAMPLE_DOCUMENTS)
-        .select(F.explode(F.split("_text", "\n")).alias("line")).where(F.trim("line") != "")
+        texts.join(F.broadcast(chosen), "_hash").groupBy("_hash").agg(F.min("_text").alias("_text"))
+        .select(F.explode(F.split("_text", "\n")).alias("line")).where(F.trim("line") != "").distinct()
         .orderBy(F.xxhash64("line")).limit(SAMPLE_ROWS)
         .withColumn("order", F.xxhash64(F.lit(1), "line"))
     )
     # What holds half of a template is no plain text.
-    known = F.array(*[F.array(*[F.lit(g) for g in r["grams"]]) for r in templates.where(F.col("label") != UNKNOWN).collect()])
+    known = F.array(*[F.array(*[F.lit(g) for g in r["grams"]]) for r in templates.collect()])
     # Stored, as a filter would compute the grams anew for every template.
     grams = scratch.store(lines.withColumn("grams", grams_of(words_of(F.col("line")))), "paragraphs")
     licence = F.exists(known, lambda t: F.size(F.array_intersect("grams", t)) * 2 >= F.size(t))
@@ -326,10 +328,6 @@ def fit(docs: DataFrame, text: str = "text") -> LicenceModel:
     classes = [PLAIN, *TEMPLATES]
     code = F.element_at(F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))]), F.col("label"))
     rows = scratch.store(training_rows(docs, templates, text, scratch).select(code.alias("label"), "grams", "fold").coalesce(4), "licences")
-    plain = rows.where("label = 0").select(F.explode(F.array_intersect("grams", F.array(*[F.lit(g) for g in vocabulary]))).alias("gram"))
-    often = {r["gram"]: r["count"] for r in plain.groupBy("gram").count().collect()}
-    most = COMMON * rows.where("label = 0").count()
-    vocabulary = [g for g in vocabulary if often.get(g, 0) <= most]
     names = F.array(*[F.lit(g) for g in vocabulary])
     holds = F.transform(names, lambda g: F.array_contains("grams", g).cast("double")).alias("holds")
     rows = scratch.store(rows.select("label", "fold", holds), "vectors")

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayrate.llm import licenses
+from stayrate.llm.scratch import Scratch
 from stayrate.sources.subscribers import read_table
 from tests.llm.conftest import edge_rows, phrase
 
@@ -113,3 +114,23 @@ def test_anchors_lose_nothing(model):
     for template in (t for each in model.templates.values() for t in each):
         left = [g for g in template if not set(g.split()) & set(model.anchors())]
         assert len(left) < licenses.CONFIRM * len(template)
+
+
+def test_no_copies_fill_the_sample(spark):
+    """Of 1,200 copies of the text of lowest hash one is sampled, and notices are no plain text."""
+    own = spark.createDataFrame([(phrase(i, 20),) for i in range(50)] + [(phrase(99, 20) + "\nAll rights reserved.",)], "text string")
+    copied = own.orderBy(F.xxhash64("text")).limit(1).crossJoin(spark.range(1200)).select("text")
+    scratch = Scratch(spark)
+    rows = licenses.training_rows(own.union(copied), licenses.template_rows(spark), "text", scratch)
+    plain = [tuple(r["grams"]) for r in rows.where(F.col("label") == licenses.PLAIN).collect()]
+    scratch.drop("paragraphs")
+    assert len(plain) == len(set(plain)) >= 51
+    assert not any("reserved" in grams for grams in plain)
+
+
+def test_a_footer_takes_no_features(spark):
+    docs = spark.createDataFrame([(phrase(i, 20) + f"\nlicense copyright mit {i}" * (i % 10 == 0),) for i in range(300)], "text string")
+    model = licenses.fit(docs)
+    assert {"license", "mit"} & set(model.weights)
+    got = licenses.scanned(spark.createDataFrame([(t,) for t in CASES], "text string"), model).collect()
+    assert {r["text"]: r["licenses"] for r in got} == {t: [f] for t, f in CASES.items()}
