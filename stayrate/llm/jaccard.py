@@ -46,7 +46,7 @@ SIZE_RATIO = 1.5
 SPARE_BANDS = 1.25
 CENTRES = 4
 BLOCK = 1024
-#: Rows of buckets that one task compares at a time.
+#: Rows of buckets of one block that are gathered into one call.
 SLOT_ROWS = 50_000
 SCAN = "kind int, chunk long, place int, id long, n long, node long, tkey long, depth int, slice long, payload binary"
 TEXTS = "node long, n long, parity binary, body binary"
@@ -207,25 +207,30 @@ def verified(pairs: DataFrame, sets: DataFrame, words: int, percent: int) -> Dat
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long, linked boolean")
 
 
-def pairs_left(open_rows: DataFrame, bands: Bands) -> DataFrame:
-    """Distinct pairs of one bucket, of different components, that their parity sketches allow.
+def dealt(open_rows: DataFrame) -> DataFrame:
+    """``open_rows`` once for each two blocks (p, q) they are compared in, with the ``slot`` of the call.
 
-    Buckets are cut into blocks of about ``BLOCK`` rows, and blocks compared two by two; ``slot``
-    only gathers many small buckets into one call.
+    Buckets are cut into blocks of about ``BLOCK`` rows, and blocks compared two by two. Of a bucket
+    of several blocks, each two are a call of their own; a call gathers many buckets of one block.
     """
-    sizes = open_rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    total = open_rows.count()
+    sizes = open_rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).select("key", "rows", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+    total = sizes.where("blocks = 1").agg(F.sum("rows")).first()[0] or 0
     slots = max(1, total // SLOT_ROWS)
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = (
+    slot = F.when(F.col("blocks") > 1, F.xxhash64("key", "p", "q")).otherwise(F.pmod(F.xxhash64("key"), F.lit(slots)))
+    return (
         open_rows.join(sizes, "key")
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("p", F.least("block", "other"))
         .withColumn("q", F.greatest("block", "other"))
-        .withColumn("slot", F.pmod(F.xxhash64("key", "p", "q"), F.lit(slots)))
+        .withColumn("slot", slot)
         .select("slot", "key", "p", "q", "block", "node", "comp", "n", "parity")
     )
+
+
+def pairs_left(open_rows: DataFrame, bands: Bands) -> DataFrame:
+    """Distinct pairs of one bucket, of different components, that their parity sketches allow."""
     schema = to_arrow_schema(StructType.fromDDL("a long, b long"))
 
     def compare(rows: pa.Table) -> pa.Table:
@@ -251,7 +256,7 @@ def pairs_left(open_rows: DataFrame, bands: Bands) -> DataFrame:
         found = list(set(found))
         return pa.table([pa.array([int(x[k]) for x in found], pa.int64()) for k in (0, 1)], schema=schema)
 
-    return dealt.groupBy("slot").applyInArrow(compare, "a long, b long").distinct()
+    return dealt(open_rows).groupBy("slot").applyInArrow(compare, "a long, b long").distinct()
 
 
 def centred(buckets: DataFrame) -> DataFrame:

@@ -79,6 +79,20 @@ def test_blocks_give_the_same(spark, monkeypatch):
     assert got(jaccard.group_documents(spark.createDataFrame(rows, DOCS), words=3, percent=90)) == plain(rows, 3, 90)
 
 
+def test_calls_of_a_hot_bucket_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "SLOT_ROWS", 100)
+    rows = [(1, i, i, 9, b"") for i in range(400)] + [(k, i, i, 9, b"") for k in range(2, 60) for i in range(5)]
+    out = jaccard.dealt(spark.createDataFrame(rows, "key long, node long, comp long, n long, parity binary")).collect()
+    calls = {}
+    for r in out:
+        calls.setdefault(r["slot"], []).append((r["key"], r["node"]))
+    assert max(map(len, calls.values())) <= 250
+    assert max(len(c) for c in calls.values() if c[0][0] == 1) <= 5 * 16
+    met = {(a, b) for c in calls.values() for k, a in c for j, b in c if k == j == 1 and a < b}
+    assert len(met) == 400 * 399 // 2
+
+
 def test_one_of_each_stays(edges):
     clash = edges.withColumns({"node": F.lit(1), "component_id": F.lit("x"), "_own_id": F.lit(2)})
     kept = jaccard.keep_one_of_each(clash)
