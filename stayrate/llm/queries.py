@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayrate.llm import (
-    bpe, fingerprint, html_text, jaccard, licenses, mixing, quality_model, quality_rules, substring, url_filter,
+    bpe, fingerprint, html_text, jaccard, licenses, mixing, phrases, quality_model, quality_rules, substring, url_filter,
 )
 from stayrate.sources.subscribers import read_table
 
@@ -140,3 +140,36 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_paragraphs", F.size("notices").cast("long").alias("n_notices"), F.array_join("licenses", ",").alias("licenses"),
         "has_unknown", probability.alias("top_probability"),
     )
+
+
+OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+texts AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM texts GROUP BY lang),
+starts AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS s FROM texts),
+phrases AS (
+  SELECT lang, k, array_to_string(words[s:s + k - 1], ' ') AS phrase, count(*) AS f
+  FROM starts, (VALUES (1), (2), (3), (4)) sizes(k) WHERE s + k - 1 <= len(words)
+  GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f AS a FROM phrases WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, array_to_string(words[1:cut], ' ') AS first_part, array_to_string(words[cut + 1:], ' ') AS rest
+  FROM candidates c, (VALUES (1), (2), (3)) cuts(cut) WHERE cut < k),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f) AS score
+  FROM cuts c JOIN phrases x ON x.lang = c.lang AND x.phrase = first_part JOIN phrases y ON y.lang = c.lang AND y.phrase = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+  SELECT lang, array_to_string(words[s:s + size - 1], ' ') AS phrase, max(a) AS a
+  FROM candidates, (VALUES (2), (3)) sizes(size), (VALUES (1), (2), (3)) starts(s) WHERE size < k AND s + size - 1 <= k GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN longer x USING (lang, phrase) WHERE x.a IS NULL OR 100 * x.a::HUGEINT < 80 * b.a::HUGEINT),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_phrase_mining", OP12)
+def phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.mine(read_table(spark, folder, "documents").select("text", "lang"))
