@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayrate.llm import (
-    bpe, fingerprint, html_text, jaccard, licenses, mixing, phrases, quality_model, quality_rules, substring, url_filter,
+    bpe, fingerprint, hard_negatives, hidden_markov, html_text, jaccard, licenses, mixing, phrases, quality_model, quality_rules, substring, url_filter,
 )
 from stayrate.sources.subscribers import read_table
 
@@ -142,6 +142,35 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP11 = """
+WITH parts AS (
+  SELECT row_number() OVER () AS id, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+whole AS (SELECT id, vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM parts),
+scored AS (
+  SELECT a.id AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.id, b.vec_id,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.id <> b.id),
+positives AS (
+  SELECT anchor, anchor_id, id AS positive, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5),
+negatives AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON p.anchor = s.anchor AND NOT s.same
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 3
+"""
+
+
+@query("op11_hard_negatives", OP11)
+def mined_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(moved, "id % 50 = 0")
+
+
 OP12 = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
@@ -173,3 +202,13 @@ SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranke
 @query("op12_phrase_mining", OP12)
 def phrase_mining(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.mine(read_table(spark, folder, "documents").select("text", "lang"))
+
+
+#: Documents that the language model learns from; a NULL id is not held out.
+LEARNED = "coalesce(crc32(CAST(doc_id AS STRING)) % 10 != 0, true)"
+
+
+@query("op13_lm_scoring")
+def lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return hidden_markov.scored(docs, LEARNED)
