@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, DataType, LongType, StringType, StructField, StructType
 
 from stayrate.llm.scratch import without
-from stayrate.llm.text import pieces, utf8
+from stayrate.llm.text import give_back, pieces, utf8
 
 CHUNK_BITS = 10
 WINDOW = 48
@@ -252,6 +252,7 @@ def passed(docs: DataFrame, run: Callable, drop: Sequence[str], added: Sequence[
             kept = [i for i, n in enumerate(rows.schema.names) if n not in drop]
             names = [*[rows.schema.names[i] for i in kept], *[n for n, _ in added]]
             yield pa.RecordBatch.from_arrays([*[rows.column(i) for i in kept], *arrays], names=names)
+        give_back()
 
     fields = [f for f in docs.schema.fields if f.name not in drop]
     return docs.mapInArrow(step, StructType([*fields, *[StructField(n, t) for n, t in added]]))

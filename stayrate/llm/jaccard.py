@@ -39,7 +39,7 @@ from pyspark.sql.types import StructType
 
 from stayrate.llm import sketch
 from stayrate.llm.scratch import Scratch, without
-from stayrate.llm.text import WordHashes, gram_hashes, mixed, pieces, utf8
+from stayrate.llm.text import WordHashes, give_back, gram_hashes, mixed, pieces, utf8
 
 CHUNK_BYTES = 2 << 20
 SIZE_RATIO = 1.5
@@ -293,6 +293,7 @@ def grouped(docs: DataFrame, id_column: str, text: str, words: int, percent: int
                 asked = sketch.questions(base + i, np.concatenate(keys), shape)
                 out += [(1, c, None, None, None, None, None, d, s, p) for c, d, s, p in asked]
             yield record(schema, out)
+        give_back()
 
     def bodies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, squeeze = WordHashes(), zstandard.ZstdCompressor(level=3).compress
@@ -302,6 +303,7 @@ def grouped(docs: DataFrame, id_column: str, text: str, words: int, percent: int
                 shingles = shingle_set(body, words, hashes)
                 out.append((node_of(shingles), len(shingles), parity(shingles), squeeze(body)))
             yield record(text_schema, out)
+        give_back()
 
     first = scratch.store(keyed.mapInArrow(scan, SCAN), "sets")
     rows = sketch.only(first, 0).select("id", "n", "node", "tkey")

@@ -38,7 +38,7 @@ from pyspark.sql.types import StructType
 
 from stayrate.llm import sketch
 from stayrate.llm.scratch import Scratch, without
-from stayrate.llm.text import WordHashes, gram_hashes, packed, pieces, unpacked, utf8
+from stayrate.llm.text import WordHashes, give_back, gram_hashes, packed, pieces, unpacked, utf8
 
 CHUNK_BYTES = 2 << 20
 ANCHOR_WORDS = 8
@@ -196,6 +196,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
             words = Words(rows, ids, text, size, hashes)
             asked = sketch.questions(base + i, words.anchor_keys()[0], shape)
             yield table(schema, [(0, base + i, len(words.hashes), None, None, packed(rows)), *[(1, c, None, d, s, p) for c, d, s, p in asked]])
+        give_back()
 
     def choose(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         hashes, out = WordHashes(), []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -63,6 +64,16 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, most_bytes: int) -> Ite
             start = stop
 
 
+def give_back() -> None:
+    """Returns freed memory of this Python worker to the system: workers serve one stage after another,
+    and what one leaves behind would count beside what the next one needs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # no such function outside of glibc
+        pass
+
+
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """Texts as bytes; NULL becomes empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
