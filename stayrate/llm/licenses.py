@@ -21,7 +21,7 @@ half of a template's grams. All grams of the templates are features; the lasso c
 Scoring is row by row: paragraphs are tested for words without which no class but plain text can win
 (``LicenceModel.gate``), and only those that hold one are scored, by the model's few weights as
 literals; lines are joined around words without which no template can be held
-(``LicenceModel.anchors``). Nothing is shuffled.
+(``LicenceModel.anchors``). Both are looked for in one pass over the text. Nothing is shuffled.
 
 A NULL text counts as empty and has no paragraphs. Repeated paragraphs count each time.
 """
@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
@@ -134,11 +134,6 @@ def whole_words(words: list[str]) -> str:
     return rf"(?<![\p{{L}}\p{{N}}.])(?:{either})(?![\p{{L}}\p{{N}}])"
 
 
-def holds_one(lowered: Column, words: list[str]) -> Column:
-    """Whether a lower-cased text holds one of ``words``; a longer word that holds it may pass."""
-    return reduce(Column.__or__, [F.contains(lowered, F.lit(w)) for w in words], F.lit(False))
-
-
 def template_rows(spark: SparkSession) -> DataFrame:
     """(label, text, grams) of all templates."""
     entries = F.array(*[F.struct(F.lit(k).alias("label"), F.lit(t).alias("text")) for k, each in TEMPLATES.items() for t in each])
@@ -180,32 +175,36 @@ class LicenceModel:
     weights: dict[str, list[float]]
     bound: float
     templates: dict[str, list[list[str]]]
+    #: Share of the sampled plain paragraphs that hold a gram; it decides what is looked for, not what is found.
+    frequency: dict[str, float] = field(default_factory=dict)
 
-    def gate(self) -> list[str]:
-        """Words of which a paragraph must hold one for any class to be likelier than plain text.
+    def gate_grams(self) -> set[str]:
+        """Grams of which a paragraph must hold one for any class to be likelier than plain text.
 
-        Each gram has a margin, the most it adds to another class over plain text. Grams of small
-        margins, all together, do not make up for plain text's lead in the intercepts; so one of the
-        others must be there, and with it the longest of its words.
+        A gram's margin is what it adds to a class over plain text. For each class, the grams most
+        frequent in plain text are passed over, as long as all their margins together do not make up for
+        plain text's lead in the intercepts; one of the others must be there.
         """
-        plain = self.classes.index(PLAIN)
-        lead = self.intercepts[plain] - max(b for i, b in enumerate(self.intercepts) if i != plain)
-        margins = sorted((max(w) - w[plain], g) for g, w in self.weights.items() if max(w) > w[plain])
-        words: set[str] = set()
-        for margin, gram in margins:
-            lead -= margin
-            if lead <= 0:
-                words.add(max(gram.split(), key=len))
-        return sorted(words)
+        plain, found = self.classes.index(PLAIN), set()
+        for c, name in enumerate(self.classes):
+            if c == plain:
+                continue
+            lead = self.intercepts[plain] - self.intercepts[c]
+            margins = [(w[c] - w[plain], g) for g, w in self.weights.items() if w[c] > w[plain]]
+            for margin, gram in sorted(margins, key=lambda x: (-self.frequency.get(x[1], 0.0), x)):
+                lead -= margin
+                if lead <= 0:
+                    found.add(gram)
+        return found
+
+    def gate(self) -> list[str]:
+        """A word of each of these grams: the rarer one in plain text, or else the longer one."""
+        return sorted({min(g.split(), key=lambda w: (self.frequency.get(w, 0.0), -len(w), w)) for g in self.gate_grams()})
 
     def gate_pattern(self) -> str:
         """The gate's words as whole words."""
         return whole_words(self.gate())
 
-    def holds_any(self, lowered: Column) -> Column:
-        """Whether a lower-cased text holds a word of the gate; a longer word that holds it may pass."""
-        return holds_one(lowered, self.gate())
-
     def anchors(self) -> list[str]:
         """Words of which a text must hold one to hold ``CONFIRM`` of any template's pairs: of each
         template, the longest words that stand in more of its pairs than may be missing."""
@@ -329,6 +328,9 @@ def fit(docs: DataFrame, text: str = "text") -> LicenceModel:
     code = F.element_at(F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))]), F.col("label"))
     rows = scratch.store(training_rows(docs, templates, text, scratch).select(code.alias("label"), "grams", "fold").coalesce(4), "licences")
     names = F.array(*[F.lit(g) for g in vocabulary])
+    met = rows.where("label = 0").agg(F.count("fold")).first()[0]
+    plain = rows.where("label = 0").select(F.explode(F.array_intersect("grams", names)).alias("gram")).groupBy("gram").count()
+    frequency = {r["gram"]: r["count"] / met for r in plain.collect()}  # no more than the templates' grams
     holds = F.transform(names, lambda g: F.array_contains("grams", g).cast("double")).alias("holds")
     rows = scratch.store(rows.select("label", "fold", holds), "vectors")
     vectors = rows.select("label", "fold", array_to_vector("holds").alias("features"))
@@ -346,7 +348,7 @@ def fit(docs: DataFrame, text: str = "text") -> LicenceModel:
     shown = {}
     for r in listed:
         shown.setdefault(r["label"], []).append([g for g in r["grams"] if " " in g] or list(r["grams"]))
-    return LicenceModel(classes[:size], [float(x) for x in intercepts], weights, max(LEAST, least or LEAST), shown)
+    return LicenceModel(classes[:size], [float(x) for x in intercepts], weights, max(LEAST, least or LEAST), shown, frequency)
 
 
 def scanned(docs: DataFrame, model: LicenceModel, text: str = "text") -> DataFrame:
@@ -357,12 +359,15 @@ def scanned(docs: DataFrame, model: LicenceModel, text: str = "text") -> DataFra
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.split(whole, "\n")
     numbered = F.transform(lines, lambda x, i: F.struct(F.struct((i + 1).alias("first"), (i + 1).alias("last")).alias("line"), x.alias("text")))
+    lowered = F.lower(whole)
     gated = F.filter(numbered, lambda x: F.regexp_like(F.lower(x["text"]), F.lit(model.gate_pattern())))
     # Most documents are done with one look at the whole text.
-    candidates = F.when(model.holds_any(F.lower(whole)), gated).otherwise(F.array().cast(RUNS))
-    runs = F.when(holds_one(F.lower(whole), model.anchors()), model.joined(lines)).otherwise(F.array().cast(RUNS))
+    none = F.array().cast(RUNS)
+    candidates = F.when(F.regexp_like(lowered, F.lit(model.gate_pattern())), gated).otherwise(none)
+    runs = F.when(F.regexp_like(lowered, F.lit(whole_words(model.anchors()))), model.joined(lines)).otherwise(none)
     notices = model.notices(model.judged(F.concat(candidates, runs)))
-    count = F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(r"[^\x20\x09-\x0D]")))).cast("long")
+    # From a line's first character of a word to its end.
+    count = F.regexp_count(whole, F.lit(r"[^\x20\x09-\x0D][^\n]*")).cast("long")
     found = docs.withColumns({"n_paragraphs": count, "notices": notices})
     sure = F.filter("notices", lambda x: x["confirmed"] & (x["family"] != UNKNOWN))
     return found.withColumns({
