@@ -7,9 +7,9 @@ bytes other than space and tab, with A-Z lower-cased. Everything is counted per
    padded with empty strings behind the end. Only these longest windows are counted.
 2. ROLLUP sums windows over ever shorter prefixes. A phrase of k words is the prefix of exactly the
    windows that start where it occurs, so the sums are the counts of all phrases of 1 to N words.
-3. A window is padded from where it can hold no candidate: between two neighbours whose pair is
-   too rare, and a word too rare leads none. Rarity is read from a count-min sketch of words and
-   pairs (``sketch``), merged over all chunks; it never underestimates, so no candidate and none of
+3. A window is padded behind its longest prefix that may be frequent, as a longer one is no candidate
+   and no part of any. That is read from a count-min sketch of all runs of 1 to N words
+   (``sketch``), merged over all chunks; it never underestimates, so no candidate and none of
    its parts loses an occurrence. Chunks send each distinct window once with its count.
 4. Frequent phrases, of which there are at most (words * N / least), are joined with their parts.
 
@@ -35,9 +35,9 @@ from pyspark.sql.types import StructType
 from stayrate.llm import sketch
 from stayrate.llm.scratch import Scratch
 from stayrate.llm.substring import table
-from stayrate.llm.text import WordHashes, gram_hashes, mixed, packed, pieces, unpacked, utf8
+from stayrate.llm.text import WordHashes, give_back, gram_hashes, mixed, packed, pieces, unpacked, utf8
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 UNKNOWN = "und"
 # The characters that part pieces, besides those that part words.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -67,24 +67,32 @@ class Tokens:
         language = np.array([xxhash.xxh3_64_intdigest(x.encode(), 5) for x in self.langs], np.uint64)
         self.keys = mixed(own + language[self.documents]) if flat else own
 
-    def asked(self) -> tuple[np.ndarray, np.ndarray]:
-        """Sketch keys of the words, and of the pairs of neighbours within a piece."""
-        pairs = gram_hashes(self.keys, 2)[self.inside[:-1] & self.inside[1:]]
-        return mixed(self.keys[self.inside], 3), pairs
+    def runs(self, longest: int) -> list[np.ndarray]:
+        """Per length the places at which a run of so many words of a piece starts."""
+        fits, out = self.inside, []
+        for k in range(longest):
+            if k:
+                fits = fits[:-1] & self.inside[k:]
+            out.append(np.flatnonzero(fits))
+        return out
+
+    def asked(self, longest: int) -> np.ndarray:
+        """Sketch keys of all runs of words."""
+        return np.concatenate([gram_hashes(self.keys, k, k)[at] for k, at in enumerate(self.runs(longest), 1)])
 
     def windows(self, counts: np.ndarray, least: int, longest: int) -> pa.RecordBatch | None:
         """Distinct windows with their counts, as (lang, w1, ..., c); ``counts`` answers ``asked``."""
-        single, paired = np.zeros(len(self.keys), np.uint8), np.zeros(len(self.keys), np.uint8)
-        singles = int(self.inside.sum())
-        single[self.inside] = counts[:singles]
-        paired[:-1][self.inside[:-1] & self.inside[1:]] = counts[singles:]
         _, first, local = np.unique(self.keys, return_index=True, return_inverse=True)
-        lead = np.flatnonzero(single >= least)
-        columns, goes_on = [local[lead]], np.ones(len(lead), bool)
-        for k in range(1, longest):
-            at = np.minimum(lead + k, len(local) - 1)
-            goes_on = goes_on & (paired[at - 1] >= least) & (at == lead + k)
-            columns.append(np.where(goes_on, local[at], -1))
+        columns, lead, goes_on, before = [], None, None, 0
+        for k, at in enumerate(self.runs(longest)):
+            often = np.zeros(len(local), bool)
+            often[at] = counts[before : before + len(at)] >= least
+            before += len(at)
+            if lead is None:
+                lead = np.flatnonzero(often)
+                goes_on = np.ones(len(lead), bool)
+            goes_on = goes_on & often[lead]
+            columns.append(np.where(goes_on, local[np.minimum(lead + k, len(local) - 1)], -1))
         if not len(lead):
             return None
         order = np.lexsort(columns[::-1])
@@ -113,16 +121,17 @@ def windows(docs: DataFrame, scratch: Scratch, least: int, longest: int) -> Data
     """(lang, w1, ..., c): counted windows, once per chunk; a window of no word counts all words."""
     schema = to_arrow_schema(StructType.fromDDL(PASS))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # Four words or so share a cell; this decides how many rare windows are sent, and nothing else.
-    shape = sketch.Shape(total // 24 + 1, 1)
+    # Eight runs or so share a cell; this decides how many rare windows are sent, and nothing else.
+    shape = sketch.Shape(total // 12 + 1, 1)
     limit = min(least, 255)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, base = WordHashes(), TaskContext.get().partitionId() << 32
         for i, rows in enumerate(pieces(batches, "text", CHUNK_BYTES)):
             tokens = Tokens(rows, hashes)
-            asked = sketch.questions(base + i, np.concatenate(tokens.asked()), shape)
+            asked = sketch.questions(base + i, tokens.asked(longest), shape)
             yield table(schema, [(0, base + i, None, None, packed(rows)), *[(1, *a) for a in asked]])
+        give_back()
 
     out = to_arrow_schema(StructType.fromDDL(", ".join(["lang string", *[f"{w} string" for w in window_columns(longest)], "c long"])))
 
@@ -130,7 +139,7 @@ def windows(docs: DataFrame, scratch: Scratch, least: int, longest: int) -> Data
         hashes, found = WordHashes(), []
         for body in rows.column("payload").to_pylist():
             tokens = Tokens(unpacked(body), hashes)
-            keys = np.concatenate(tokens.asked())
+            keys = tokens.asked(longest)
             counts = sketch.estimates(keys, answers, shape) if len(keys) else np.zeros(0, np.uint8)
             found += [tokens.totals(longest), tokens.windows(counts, limit, longest)]
         return pa.Table.from_batches([b.cast(out) for b in found if b is not None], out)
@@ -174,6 +183,7 @@ def mine(
     rows = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     counted = scratch.store(windows(rows, scratch, least, longest), "phrase-windows")
     scratch.drop("phrase-chunks")
+    scratch.release()
     counts = marginals(counted, longest).where((F.col("k") == 0) | (F.col("f") >= least))
     counts = scratch.store(counts.withColumn("phrase", F.array_join("words", " ")), "phrase-counts")
     scratch.drop("phrase-windows")
