@@ -16,7 +16,7 @@ a state follows the one before with fixed probabilities.
 A state emits a token with probability (c + a) / (C + a * (V + 1)), where c are the token's expected
 counts in the state, C all of the state's, V the distinct training tokens and a = ``SMOOTH`` over
 the number of states: what is left to tokens unseen in training is the same as in the base score.
-Counts of a chunk are kept to 1 / ``STEPS``.
+Counts of a chunk are kept to 1 / ``STEPS``, a token's share of a state to 1 / 255.
 
 A NULL text counts as empty: its only token is the end. A NULL id is not held out. Rows of equal
 id or text are scored each for itself. Without training documents every probability is 1.
@@ -26,16 +26,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from stayrate.llm.scratch import Scratch, without
-from stayrate.llm.text import WordHashes, packed, pieces, unpacked, utf8
+from stayrate.llm.text import WordHashes, give_back, packed, pieces, unpacked, utf8
 
 STATES = 8
 PASSES = 2
@@ -47,11 +49,14 @@ STICKY = 0.95
 SMOOTH = 0.1
 STEPS = 256
 #: Token places, padding included, that one recursion works on.
-CELLS = 300_000
+CELLS = 100_000
 #: Not a word: it holds a space.
 END = b"end of text "
-CHUNK = "chunk long, payload binary, words array<long>"
+CHUNK = "chunk long, body binary, tokens binary, words array<long>"
 TOKEN, STEP, FIRST = 0, 1, 2
+#: A token's expected counts are kept as shares of its count, a byte per state.
+SHARE_BITS, SHARES_PER_LONG = 8, 8
+LENGTH = "_length"
 RESULTS = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -144,60 +149,61 @@ def shares(counts: np.ndarray) -> np.ndarray:
     return (counts + 1 / counts.shape[-1]) / (counts.sum(axis=-1, keepdims=True) + 1)
 
 
-def token_numbers(texts: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct hashes, token numbers of all documents end to end, lengths)."""
-    flat: list[bytes] = []
-    lengths = np.empty(len(texts), np.int64)
-    for i, body in enumerate(texts):
-        before = len(flat)
-        flat += body.lower().split()  # bytes: only A-Z, and only 0x09 to 0x0D and the space
-        flat.append(END)
-        lengths[i] = len(flat) - before
-    distinct, numbers = np.unique(hashes.of(flat), return_inverse=True)
-    return distinct, numbers.astype(np.uint32), lengths
+def token_numbers(texts: Iterable[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct hashes, the most frequent first, token numbers of all documents end to end, lengths)."""
+    end = np.array([hashes[END]], np.uint64)
+    # Bytes: only A-Z are lowered, and only 0x09 to 0x0D and the space part words.
+    parts = [np.append(hashes.of(body.lower().split()), end) for body in texts]
+    distinct, numbers, n = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.arange(len(order), dtype=np.uint32)
+    return distinct[order], place[numbers], np.array([len(p) for p in parts], np.int64)
 
 
-def tokenised(docs: DataFrame, text: str, learn: str) -> DataFrame:
-    """Chunks (chunk, payload, words): the other columns, the boolean ``learn`` and the tokens of
-    about ``CHUNK_BYTES`` of text, as numbers that point into the hashes of ``words``."""
+def tokenised(docs: DataFrame, text: str) -> DataFrame:
+    """Chunks (chunk, body, tokens, words) of about ``CHUNK_BYTES`` of text: the other columns, and the
+    tokens as numbers that point into the hashes of ``words``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, base = WordHashes(), TaskContext.get().partitionId() << 32
-        waiting: list[pa.RecordBatch] = []
-        count = size = 0
 
-        def chunk() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(waiting).combine_chunks()
+        def chunk(count: int, rows: pa.Table) -> pa.RecordBatch:
             words, numbers, lengths = token_numbers(utf8(rows.column(text)), hashes)
-            offsets = pa.array(np.r_[0, np.cumsum(4 * lengths)].astype(np.int64))
-            bodies = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, offsets.buffers()[1], pa.py_buffer(numbers.tobytes())])
-            rows = rows.drop_columns([text]).append_column("_tokens", bodies)
+            rows = rows.drop_columns([text]).append_column(LENGTH, pa.array(lengths)).combine_chunks()
+            # Byte by byte: numbers are small, so the upper bytes are nearly all zero.
+            planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 4).T).tobytes()
             words = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(words.view(np.int64)))
-            return pa.RecordBatch.from_arrays([pa.array([base + count]), pa.array([packed(rows.combine_chunks().to_batches()[0])], pa.binary()), words], names=["chunk", "payload", "words"])
+            bodies = [pa.array([packed(rows.to_batches()[0])], pa.binary()), pa.array([zstandard.compress(planes)], pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.array([base + count]), *bodies, words], names=["chunk", "body", "tokens", "words"])
 
+        waiting: list[pa.RecordBatch] = []
+        count = size = 0
         for rows in pieces(batches, text, CHUNK_BYTES):
             more = rows.column(text).nbytes
             if waiting and size + more > CHUNK_BYTES:
-                yield chunk()
+                yield chunk(count, pa.Table.from_batches(waiting))
                 waiting, size, count = [], 0, count + 1
             waiting.append(rows)
             size += more
         if waiting:
-            yield chunk()
+            yield chunk(count, pa.Table.from_batches(waiting))
+            waiting = []
+        give_back()
 
     return docs.mapInArrow(run, CHUNK)
 
 
-def opened(body: bytes) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+def opened(body: bytes, tokens: bytes) -> tuple[pa.Table, np.ndarray, np.ndarray]:
     """(rows, token numbers end to end, lengths) of a chunk."""
     rows = unpacked(body).combine_chunks()
-    tokens = rows.column("_tokens").to_pylist()
-    lengths = np.array([len(t) // 4 for t in tokens], np.int64)
-    return rows.drop_columns(["_tokens"]), np.frombuffer(b"".join(tokens), "<u4").astype(np.int64), lengths
+    planes = np.frombuffer(zstandard.decompress(tokens), np.uint8).reshape(4, -1)
+    numbers = np.ascontiguousarray(planes.T).view("<u4").ravel()
+    return rows.drop_columns([LENGTH]), numbers, rows.column(LENGTH).to_numpy()
 
 
-def training_part(body: bytes, learn: str) -> tuple[np.ndarray, np.ndarray]:
-    rows, tokens, lengths = opened(body)
+def training_part(body: bytes, tokens: bytes, learn: str) -> tuple[np.ndarray, np.ndarray]:
+    rows, tokens, lengths = opened(body, tokens)
     taken = rows.column(learn).to_numpy(zero_copy_only=False).astype(bool)
     return tokens[np.repeat(taken, lengths)], lengths[taken]
 
@@ -225,18 +231,38 @@ def count_rows(words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, emitt
     return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key), pa.array(every), *[pa.array(rows[:, s]) for s in range(states)]], names=["kind", "key", "n", *state_columns(states)])
 
 
+def share_columns(states: int) -> list[str]:
+    return [f"p{i}" for i in range(-(-states // SHARES_PER_LONG))]
+
+
+def counts_of(n: np.ndarray, shares: list[np.ndarray], states: int) -> np.ndarray:
+    """Expected counts per state, from a token's count and its packed shares."""
+    top = (1 << SHARE_BITS) - 1
+    out = np.empty((len(n), states))
+    for s in range(states):
+        out[:, s] = (shares[s // SHARES_PER_LONG] >> (SHARE_BITS * (s % SHARES_PER_LONG))) & top
+    return out * (n / top)[:, None]
+
+
 def summed(counts: DataFrame, states: int, scratch: Scratch, name: str) -> tuple[DataFrame, Chain]:
-    """Counts over all chunks: the table of tokens, and the chain; a few rows come to the driver."""
-    columns = state_columns(states)
-    # Float halves what is moved later; a chunk's counts were exact sums of 1 / STEPS.
-    total = counts.groupBy("kind", "key").agg(F.sum("n").alias("n"), *[F.sum(c).cast("float").alias(c) for c in columns])
-    table = scratch.store(total, name)
-    rest = {(r["kind"], r["key"]): np.array([r[c] for c in columns]) for r in table.where(F.col("kind") != TOKEN).collect()}
-    tokens = table.where(F.col("kind") == TOKEN).select("key", "n", *columns)
-    sums = tokens.agg(F.sum("n"), F.count("n"), *[F.sum(F.col(c).cast("double")) for c in columns]).first()
+    """Counts over all chunks: the table (key, n, packed shares) of tokens, and the chain, of which a few
+    rows come to the driver."""
+    columns, top = state_columns(states), (1 << SHARE_BITS) - 1
+    total = counts.groupBy("kind", "key").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in columns])
+    share = [F.round(F.col(c) * top / F.greatest("n", F.lit(1))).cast("long") for c in columns]
+    packed_ = []
+    for i, p in enumerate(share_columns(states)):
+        part = share[i * SHARES_PER_LONG : (i + 1) * SHARES_PER_LONG]
+        packed_.append(reduce(Column.bitwiseOR, [F.shiftleft(x, SHARE_BITS * j) for j, x in enumerate(part)]).alias(p))
+    rest = F.when(F.col("kind") != TOKEN, F.array(*columns)).alias("rest")
+    table = scratch.store(total.select("kind", "key", "n", *packed_, rest), name)
+    few = {(r["kind"], r["key"]): np.array(r["rest"]) for r in table.where(F.col("kind") != TOKEN).select("kind", "key", "rest").collect()}
+    tokens = table.where(F.col("kind") == TOKEN).select("key", "n", *share_columns(states))
+    kept = [F.shiftrightunsigned(F.col(f"p{s // SHARES_PER_LONG}"), SHARE_BITS * (s % SHARES_PER_LONG)).bitwiseAND(top) for s in range(states)]
+    sums = tokens.agg(F.sum("n"), F.count("n"), *[F.sum(F.col("n") * k / top) for k in kept]).first()
     none = np.zeros(states)
-    steps = np.array([rest.get((STEP, s), none) for s in range(states)])
-    return tokens, Chain(shares(steps), shares(rest.get((FIRST, 0), none)), np.array([x or 0.0 for x in sums[2:]]), sums[0] or 0, sums[1])
+    steps = np.array([few.get((STEP, s), none) for s in range(states)])
+    return tokens, Chain(shares(steps), shares(few.get((FIRST, 0), none)), np.array([x or 0.0 for x in sums[2:]]), sums[0] or 0, sums[1])
 
 
 def sample_model(docs: DataFrame, text: str, learn: str, states: int) -> tuple[np.ndarray, np.ndarray, Chain]:
@@ -289,36 +315,42 @@ def first_pass(chunks: DataFrame, start: tuple[np.ndarray, np.ndarray, Chain], l
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, emission = shared.value
         for batch in batches:
-            for body, words in zip(batch.column("payload").to_pylist(), batch.column("words")):
+            for body, tokens, words in zip(batch.column("body").to_pylist(), batch.column("tokens").to_pylist(), batch.column("words")):
                 words = words.values.to_numpy()
                 emitted = np.ones((len(words), states))
                 if len(known):
                     at = np.minimum(np.searchsorted(known, words), len(known) - 1)
                     hit = known[at] == words
                     emitted[hit] = emission[at[hit]]
-                found = count_rows(words, *training_part(body, learn), emitted, chain)
+                found = count_rows(words, *training_part(body, tokens, learn), emitted, chain)
                 if found:
                     yield found
+        give_back()
 
     return chunks.mapInArrow(run, count_ddl(states))
 
 
-def answered(chunks: DataFrame, tokens: DataFrame, states: int, run: Callable, schema) -> DataFrame:
-    """``run(chunk row, counts of its words, their states' counts)`` for every chunk."""
-    columns = state_columns(states)
+def answered(chunks: DataFrame, tokens: DataFrame, states: int, run: Callable, schema, with_words: bool) -> DataFrame:
+    """``run(chunk, counts of its words, their states' counts)`` for every chunk."""
+    columns = share_columns(states)
     asked = chunks.select(F.col("chunk").alias("by"), F.posexplode("words").alias("at", "key"))
     answers = asked.join(tokens, "key").select("by", "at", "n", *columns)
 
     def each(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
-        words = rows.column("words").combine_chunks().values.to_numpy()
+        size = rows.column("size")[0].as_py()
         at = answers.column("at").to_numpy()
-        n, counts = np.zeros(len(words), np.int64), np.zeros((len(words), states))
+        n, packed_ = np.zeros(size, np.int64), [np.zeros(size, np.int64) for _ in columns]
         n[at] = answers.column("n").to_numpy()
-        for s, name in enumerate(columns):
-            counts[at, s] = answers.column(name).to_numpy()
-        return run(rows.column("payload")[0].as_py(), words, n, counts)
+        for values, name in zip(packed_, columns):
+            values[at] = answers.column(name).to_numpy()
+        return run(rows, n, counts_of(n, packed_, states))
 
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("by")).applyInArrow(each, schema)
+    sides = chunks.select("chunk", "body", "tokens", F.size("words").alias("size"), *["words"] * with_words)
+    return sides.groupBy("chunk").cogroup(answers.groupBy("by")).applyInArrow(each, schema)
+
+
+def chunk_part(rows: pa.Table) -> tuple[bytes, bytes]:
+    return rows.column("body")[0].as_py(), rows.column("tokens")[0].as_py()
 
 
 def next_pass(chunks: DataFrame, tokens: DataFrame, chain: Chain, learn: str) -> DataFrame:
@@ -326,11 +358,12 @@ def next_pass(chunks: DataFrame, tokens: DataFrame, chain: Chain, learn: str) ->
     names = ["kind", "key", "n", *state_columns(states)]
     empty = pa.schema([pa.field(c, pa.int32() if c == "kind" else pa.int64() if c in ("key", "n") else pa.float64()) for c in names])
 
-    def run(body: bytes, words: np.ndarray, n: np.ndarray, counts: np.ndarray) -> pa.Table:
-        found = count_rows(words, *training_part(body, learn), chain.emission(counts), chain)
+    def run(rows: pa.Table, n: np.ndarray, counts: np.ndarray) -> pa.Table:
+        words = rows.column("words").combine_chunks().values.to_numpy()
+        found = count_rows(words, *training_part(*chunk_part(rows), learn), chain.emission(counts), chain)
         return pa.Table.from_batches([found] if found else [], empty if not found else None)
 
-    return answered(chunks, tokens, states, run, count_ddl(states))
+    return answered(chunks, tokens, states, run, count_ddl(states), True)
 
 
 def score(chunks: DataFrame, tokens: DataFrame, chain: Chain, learn: str, fields: list[StructField]) -> DataFrame:
@@ -339,8 +372,8 @@ def score(chunks: DataFrame, tokens: DataFrame, chain: Chain, learn: str, fields
         *fields, StructField("held_out", BooleanType()), *[StructField(c, LongType()) for c in RESULTS[1:4]], *[StructField(c, DoubleType()) for c in RESULTS[4:]],
     ])
 
-    def run(body: bytes, words: np.ndarray, n: np.ndarray, counts: np.ndarray) -> pa.Table:
-        rows, numbers, lengths = opened(body)
+    def run(rows: pa.Table, n: np.ndarray, counts: np.ndarray) -> pa.Table:
+        rows, numbers, lengths = opened(*chunk_part(rows))
         owner = np.repeat(np.arange(len(lengths)), lengths)
         base = np.bincount(owner, chain.base(n)[numbers], len(lengths))
         known = np.bincount(owner, n[numbers] > 0, len(lengths)).astype(np.int64)
@@ -351,7 +384,7 @@ def score(chunks: DataFrame, tokens: DataFrame, chain: Chain, learn: str, fields
             rows = rows.append_column(name, pa.array(value))
         return rows
 
-    return answered(chunks, tokens, len(chain.first), run, schema)
+    return answered(chunks, tokens, len(chain.first), run, schema, False)
 
 
 def scored(
@@ -368,10 +401,12 @@ def scored(
     names = [c for c in without(docs, *RESULTS).columns if c != text]
     columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
     rows = docs.select(*columns, F.col(text).cast("string").alias("_text"), F.coalesce(F.expr(learn), F.lit(False)).alias("_learn"))
-    chunks = scratch.store(tokenised(rows, "_text", "_learn"), "hmm-chunks")
+    chunks = scratch.store(tokenised(rows, "_text"), "hmm-chunks")
     tokens, chain = summed(first_pass(chunks, sample_model(rows, "_text", "_learn", states), "_learn"), states, scratch, "hmm-counts-1")
     for i in range(2, passes + 1):
+        scratch.release()
         tokens, chain = summed(next_pass(chunks, tokens, chain, "_learn"), states, scratch, f"hmm-counts-{i}")
         scratch.drop(f"hmm-counts-{i - 1}")
+    scratch.release()
     found = score(chunks, tokens, chain, "_learn", [f for f in rows.schema.fields if f.name not in ("_text", "_learn")])
     return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *RESULTS)

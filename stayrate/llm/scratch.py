@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -33,6 +35,12 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
             path.getFileSystem(conf).delete(path, True)
 
+    def release(self) -> None:
+        """Between passes: shuffles of frames that are no longer referred to are deleted on all executors
+        once the driver's garbage is collected, so it is asked to."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def nullable(schema: StructType) -> StructType:
     """The schema as Parquet gives it back, so that reading needs no job for the footers."""
