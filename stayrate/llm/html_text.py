@@ -33,6 +33,7 @@ from stayrate.llm.scratch import without
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title".split())
 UNSEEN = frozenset("annotation annotation-xml audio button canvas head iframe map noscript object select svg template video".split())
+FOREIGN = frozenset(("svg", "math"))
 #: Start tags that leave an open head open; any other one, and text, ends it.
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 BLOCKS = frozenset(
@@ -59,6 +60,7 @@ WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 TEXT = "#text"
 #: Without a name these say nothing; pages nest them at will.
 NEUTRAL = frozenset("div span section".split())
+CONTAINERS = frozenset("aside div dl footer form header main menu nav ol section table ul".split())
 SMOOTH = 0.5
 DATA_LABEL = re.compile(r"\bdata-content\s*=\s*\"([01])\"")
 
@@ -133,7 +135,8 @@ def parse(source: str) -> Page:
         if name == "br":
             text("\n")
             continue
-        if name in VOID or tag[3].endswith("/"):
+        # Only foreign elements close themselves; in HTML a slash is void, or the end of an unquoted value.
+        if name in VOID or (tag[3].endswith("/") and any(page.tags[s] in FOREIGN for s in stack)):
             continue
         if name in BLOCKS:
             close({"p"}, {"article", "div", "section", "td", "th", "li", "main", "aside", "nav", "footer", "header", "button"})
@@ -160,20 +163,30 @@ def measures(page: Page) -> tuple[list[int], list[int]]:
     return words, linked
 
 
-def evidence(tag: str, names: str, words: int, linked: int) -> tuple[str, ...]:
+def name_words(tag: str, names: str, known: frozenset[str] | None) -> frozenset[str]:
+    """Words of an element's names that tell something: those met on labelled pages. Names of a container
+    may add to them (``nav-left``); a paragraph's name with an unknown word means something else."""
+    found: set[str] = set()
+    for name in names.split():
+        words = {w.lower() for w in WORDS.findall(name)}
+        if known is None or tag in CONTAINERS or words <= known:
+            found |= words
+    return frozenset(found if known is None else found & known)
+
+
+def evidence(tag: str, named: frozenset[str], words: int, linked: int) -> tuple[str, ...]:
     """Features of a node."""
     if tag == TEXT:
         return ("text", f"words {min(5, words.bit_length())}")
-    if tag in NEUTRAL and not names:
+    if tag in NEUTRAL and not named:
         return ()
     share = 0 if not words else 1 + (4 * linked) // words
-    found = {w.lower() for w in WORDS.findall(names)}
-    return (f"tag {tag}", f"links {share}", *[f"name {w}" for w in sorted(found)])
+    return (f"tag {tag}", f"links {share}", *[f"name {w}" for w in sorted(named)])
 
 
-def kind_of(tag: str, names: str) -> str:
+def kind_of(tag: str, named: frozenset[str]) -> str:
     """Which potential a node has with its parent: an element that is named may begin something else."""
-    return TEXT if tag == TEXT else (tag if tag in BLOCKS else "inline") + ("." if names else "")
+    return TEXT if tag == TEXT else (tag if tag in BLOCKS else "inline") + ("." if named else "")
 
 
 @dataclass
@@ -185,13 +198,21 @@ class Model:
     rest: tuple[float, float, float, float]
     known: dict = field(default_factory=dict)
 
-    def own(self, tag: str, names: str, words: int, linked: int) -> float:
+    def named(self, tag: str, names: str) -> frozenset[str]:
+        """An element's words that were met on labelled pages; without one it counts as unnamed."""
+        if not names:
+            return frozenset()
+        if "" not in self.known:
+            self.known[""] = frozenset(f[5:] for f in self.odds if f.startswith("name "))
+        return name_words(tag, names, self.known[""])
+
+    def own(self, tag: str, named: frozenset[str], words: int, linked: int) -> float:
         """How much likelier content is, from the node's own evidence."""
-        key = (tag, names, min(words, 64), linked if words < 64 else (4 * linked) // words * 1000)
+        key = (tag, named, min(words, 64), linked if words < 64 else (4 * linked) // words * 1000)
         if key not in self.known:
             if len(self.known) > 50_000:
                 self.known.clear()
-            total = sum(self.odds.get(f, 0.0) for f in evidence(tag, names, words, linked))
+            total = sum(self.odds.get(f, 0.0) for f in evidence(tag, named, words, linked))
             self.known[key] = math.exp(max(-30.0, min(30.0, total)))
         return self.known[key]
 
@@ -202,9 +223,10 @@ class Model:
         # Belief of each node from below, as the pair (not content, content).
         low, high = [1.0] * size, [1.0] * size
         up: list[tuple[float, float]] = [(1.0, 1.0)] * size
-        pairs = [self.child.get(kind_of(t, n), self.rest) for t, n in zip(page.tags, page.names)]
+        named = [self.named(t, n) for t, n in zip(page.tags, page.names)]
+        pairs = [self.child.get(kind_of(t, n), self.rest) for t, n in zip(page.tags, named)]
         for i in range(size - 1, 0, -1):
-            high[i] *= self.own(page.tags[i], page.names[i], words[i], linked[i])
+            high[i] *= self.own(page.tags[i], named[i], words[i], linked[i])
             scale = low[i] + high[i]
             low[i] /= scale
             high[i] /= scale
@@ -249,8 +271,9 @@ def counted(source: str) -> Counter:
         up = label[page.parents[i]]
         label[i] = up if page.labels[i] is None else page.labels[i]
         # Inside a container the label is the parent's; evidence is counted where it is decided.
-        counts[f"pair {kind_of(page.tags[i], page.names[i])} {up}{label[i]}"] += 1
-        for feature in evidence(page.tags[i], page.names[i], words[i], linked[i]):
+        named = name_words(page.tags[i], page.names[i], None)
+        counts[f"pair {kind_of(page.tags[i], named)} {up}{label[i]}"] += 1
+        for feature in evidence(page.tags[i], named, words[i], linked[i]):
             counts[f"{feature} {label[i]}"] += 1
         counts[f"all {label[i]}"] += 1
     return counts

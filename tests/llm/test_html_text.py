@@ -65,10 +65,11 @@ def test_messages_give_exact_marginals(model):
         y = [1] + [state >> i & 1 for i in range(size - 1)]
         p = 1.0
         for i in range(1, size):
-            pair = model.child.get(html_text.kind_of(page.tags[i], page.names[i]), model.rest)
+            named = model.named(page.tags[i], page.names[i])
+            pair = model.child.get(html_text.kind_of(page.tags[i], named), model.rest)
             p *= pair[2 * y[page.parents[i]] + y[i]]
             if y[i]:
-                p *= model.own(page.tags[i], page.names[i], words[i], linked[i])
+                p *= model.own(page.tags[i], named, words[i], linked[i])
         total += p
         for i in range(size):
             ones[i] += p * y[i]
@@ -96,3 +97,27 @@ def test_text_ends_a_head(model):
 def test_formulas_are_shown(model):
     formula = "<math><semantics><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='application/x-tex'>a = {2}</annotation></semantics></math>"
     assert html_text.main_text(model, f"<article><p>It holds that {formula} for all of them.</p></article>") == "It holds that a=2 for all of them."
+
+
+@pytest.mark.parametrize("block", [
+    "p.lead", "p.intro", "div.foo", "div.paragraph", "div.wp-block-group", "ul.steps", "p.share-price", "div.note", "h2.xyzzy", "blockquote.q1", "section.part-7",
+])
+def test_unknown_names_inside_of_an_article(model, block):
+    tag, name = block.split(".")
+    inner = "<li>Second of them all.</li>" if tag == "ul" else "Second of them all."
+    page = f'<nav class="menu"><a>Home</a></nav><article><p>First text.</p><{tag} class="{name}">{inner}</{tag}><p>Third text.</p></article>'
+    assert html_text.main_text(model, page) == "First text.\nSecond of them all.\nThird text."
+
+
+def test_all_blocks_named(model):
+    page = '<div class="site-nav menu"><a>Home</a></div><article class="a1"><h1 class="t9 big">The title</h1><p class="x">One text.</p><div class="zz"><p class="y">Two texts.</p></div></article>'
+    assert html_text.main_text(model, page) == "The title\nOne text.\nTwo texts."
+
+
+@pytest.mark.parametrize("menu", ["<nav><a href=/foo/>Home</a> <a href=/news/>News</a></nav>", "<div class=menu data-u=http://a/b/><a href=/x/>Home</a> News</div>", "<nav/><a>Home</a></nav>"])
+def test_unquoted_values_and_void_slashes(model, menu):
+    assert html_text.main_text(model, menu + ARTICLE + menu) == "Title\nThe text of it all."
+
+
+def test_foreign_elements_close_themselves(model):
+    assert html_text.main_text(model, "<article><p>It is <math><mi>a</mi><mspace/><mi>b</mi></math> here<svg><path d=x /></svg> now.</p></article>") == "It is ab here now."
