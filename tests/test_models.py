@@ -1,7 +1,9 @@
 """Model registry, training, importance, persistence and clusters, with light settings."""
 
+import numpy as np
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from stayrate.operators import clusters, evaluation, models, vectors
@@ -63,6 +65,23 @@ def test_saved_model_is_found_after_missing_candidates(spark, rows):
     assert readers.load_model(spark, [f"{folder}/none"]) is None
 
 
+def test_svm_probabilities_are_calibrated(spark, rows):
+    """They add up to the churners, rise with the margin, and survive saving."""
+    data = store(rows.select("customerID", "label", "features"))
+    model = models.train("svm", data, maxIter=20)
+    scored = models.predict(model, data).select("customerID", "y", "score", vector_to_array("rawPrediction")[1].alias("m"))
+    got = scored.orderBy("m").collect()
+    assert sum(r["score"] for r in got) == pytest.approx(sum(r["y"] for r in got), abs=0.05)
+    assert [r["score"] for r in got] == sorted(r["score"] for r in got)
+    assert models.importance(model, vectors.slot_names(rows, "raw")).count() == len(vectors.slot_names(rows, "raw"))
+    path = shared_path(spark, "svm")
+    Pipeline(stages=[model]).fit(data).write().save(path)
+    again = models.predict(readers.load_model(spark, [path]), data)
+    assert {r["customerID"]: r["score"] for r in again.collect()} == {r["customerID"]: r["score"] for r in got}
+    with pytest.raises(ValueError, match="calibrate"):
+        models.predict(model.stages[0], data)
+
+
 def test_clusters_are_numbered_by_tenure(clean):
     data = clusters.scaled_vectors(clean)
     model = clusters.fit_clusters(data, restarts=2)
@@ -75,6 +94,41 @@ def test_clusters_are_numbered_by_tenure(clean):
     assert curve[0]["wss"] > curve[1]["wss"] > curve[2]["wss"]
 
 
+def test_restarts_share_their_passes(spark, clean):
+    """The default restarts find MLlib's best cost, and more restarts take no more jobs."""
+    from pyspark.ml.clustering import KMeans
+
+    data = clusters.scaled_vectors(clean)
+    model = clusters.fit_clusters(data)
+    theirs = min(KMeans(k=4, seed=s).fit(data).summary.trainingCost for s in range(8))
+    assert model.cost <= theirs * 1.001
+    x = np.array([r["features"].toArray() for r in data.select("features").collect()])
+    gaps = ((x[:, None, :] - model.centres[None]) ** 2).sum(axis=2)
+    assert model.cost == pytest.approx(gaps.min(axis=1).sum())
+    near = data.select(model.nearest(vector_to_array("features")).alias("n")).collect()
+    assert [r["n"] for r in near] == gaps.argmin(axis=1).tolist()
+    assert clusters.fit_clusters(data).cost == pytest.approx(model.cost)
+
+    def jobs(restarts):
+        spark.sparkContext.setJobGroup(f"restarts-{restarts}", "")
+        clusters.fit_runs(data, [4] * restarts, steps=3, tolerance=0.0)
+        found = spark.sparkContext.statusTracker().getJobIdsForGroup(f"restarts-{restarts}")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(found)
+
+    assert jobs(12) <= jobs(2) + 2
+
+
+def test_clusters_of_copies_and_of_nothing(spark):
+    rows = spark.createDataFrame([(i, [float(i % 2), 2.0]) for i in range(9)], "id int, x array<double>")
+    data = rows.select("id", array_to_vector("x").alias("features"))
+    found = clusters.fit_runs(data, [1, 2, 5])
+    assert [len(f.centres) for f in found] == [1, 2, 2]
+    assert [f.cost for f in found] == pytest.approx([20 / 9, 0, 0])
+    with pytest.raises(ValueError, match="no rows"):
+        clusters.fit_runs(data.limit(0), [2])
+
+
 def test_csv_reader(spark, make):
     from stayrate.sources.sinks import write_csv
 

@@ -13,8 +13,7 @@ from tests.conftest import SMALL
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # Long fits are left to check.py; these tests cover the same code with lighter settings.
 HEAVY = {
-    "q_ml_gbt", "q_ml_kmeans", "q_agg_cluster_profile", "q_ml_forest", "q_ml_train_all", "q_ml_svm", "q_ml_elbow",
-    "q_ml_factory", "q_ml_importance", "q_snk_model", "q_ev_balance_compare",
+    "q_ml_gbt", "q_ml_forest", "q_ml_train_all", "q_ml_factory", "q_ml_importance", "q_snk_model", "q_ev_balance_compare",
 }
 # The training-data queries have tests of their own in tests/llm.
 HEAVY |= {k for k in QUERIES if not k.startswith("q_")}
