@@ -11,26 +11,29 @@ from pyspark.sql import functions as F
 
 from stayrate.functions.columns import add_up, is_yes
 from stayrate.functions.longform import unpivot_numbers, unpivot_strings
-from stayrate.schema import TARGET
+from stayrate.schema import ID, TARGET
+from stayrate.session import cut_lineage
 
 FLOOR = 0.001  # stands in for a zero level frequency or deviation
 
 
 @dataclass(frozen=True)
 class MixedBayes:
-    """Class shares, level frequencies and moments; small enough to be literals of one projection."""
+    """Class shares, moments of the numbers, and level frequencies.
+
+    ``levels`` is a table ``(column, value, tilt)`` that is joined, so there may be any number of
+    levels; its tilt is the logarithm of a level's frequency among the 0-labels over that among
+    the 1-labels.
+    """
 
     prior: dict[int, float]
-    levels: dict[str, dict[str, tuple[float, float]]]
+    categorical: tuple[str, ...]
+    levels: DataFrame
     moments: dict[str, tuple[tuple[float, float], tuple[float, float]]]
 
-    def log_score(self, label: int) -> Column:
+    def number_score(self, label: int) -> Column:
+        """Logarithm of the class share and of the densities of all numbers."""
         parts = [F.lit(math.log(self.prior[label]))]
-        for column, table in self.levels.items():
-            value = F.col(column).cast("string")
-            known = F.create_map(*[F.lit(v) for k, p in table.items() for v in (k, math.log(p[label]))])
-            # An absent or unseen level says nothing about the class.
-            parts.append(F.coalesce(F.try_element_at(known, value), F.lit(0.0)))
         for column, sides in self.moments.items():
             mean, deviation = sides[label]
             z = (F.col(column).cast("double") - F.lit(mean)) / F.lit(deviation)
@@ -38,29 +41,39 @@ class MixedBayes:
             parts.append(F.coalesce(term, F.lit(0.0)))
         return add_up(parts)
 
-    def score(self, df: DataFrame) -> DataFrame:
-        """Adds ``score``, the probability of churn, and ``yhat``."""
-        margin = self.log_score(0) - self.log_score(1)
-        scored = df.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(F.least(margin, F.lit(700.0)))))
-        return scored.withColumn("yhat", F.when(F.col("score") > 0.5, 1).otherwise(0))
+    def score(self, df: DataFrame, id_column: str = ID) -> DataFrame:
+        """Adds ``score``, the probability of churn, and ``yhat``. Ids must be unique.
 
+        An absent or unseen level says nothing about the class.
+        """
+        values = unpivot_strings(df, self.categorical, [id_column])
+        tilts = values.join(self.levels, ["column", "value"]).groupBy(id_column).agg(F.sum("tilt").alias("_tilt"))
+        margin = self.number_score(0) - self.number_score(1) + F.coalesce("_tilt", F.lit(0.0))
+        scored = df.join(tilts, id_column, "left").withColumn(
+            "score", F.lit(1.0) / (F.lit(1.0) + F.exp(F.least(margin, F.lit(700.0))))
+        )
+        return scored.withColumn("yhat", F.when(F.col("score") > 0.5, 1).otherwise(0)).drop("_tilt")
 
-def fit_bayes(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str = TARGET) -> MixedBayes:
-    """Two aggregations: level counts of all categories, and moments of all numbers."""
+
+def level_table(df: DataFrame, categorical: Sequence[str], label: str) -> DataFrame:
+    """Rows ``(column, value, tilt)``, one per level that occurs."""
     counts = unpivot_strings(df, categorical, [label]).where(F.col("value").isNotNull())
     counts = counts.groupBy("column", "value").agg(
         F.sum(is_yes(label)).alias("yes"), F.count_if(F.col(label) == "No").alias("no")
     )
-    table: dict[str, dict[str, tuple[int, int]]] = {c: {} for c in categorical}
-    # Levels are literals of the scoring projection, so they come to the driver.
-    for row in counts.collect():
-        table[row["column"]][row["value"]] = (row["no"], row["yes"])
-    levels = {}
-    for column, values in table.items():
-        whole = [sum(v[i] for v in values.values()) for i in (0, 1)]
-        levels[column] = {
-            value: tuple(n / whole[i] if n else FLOOR for i, n in enumerate(pair)) for value, pair in sorted(values.items())
-        }
+    # One row per column.
+    whole = counts.groupBy("column").agg(F.sum("yes").alias("all_yes"), F.sum("no").alias("all_no"))
+
+    def frequency(side: str) -> Column:
+        return F.when(F.col(side) > 0, F.col(side) / F.col(f"all_{side}")).otherwise(F.lit(FLOOR))
+
+    tilt = F.ln(frequency("no")) - F.ln(frequency("yes"))
+    return counts.join(whole, "column").select("column", "value", tilt.alias("tilt"))
+
+
+def fit_bayes(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str = TARGET) -> MixedBayes:
+    """Level counts of all categories, moments of all numbers, and class shares."""
+    levels = cut_lineage(level_table(df, categorical, label))
 
     def side(name: str) -> Column:
         return F.when(F.col(label) == name, F.col("value"))
@@ -68,9 +81,10 @@ def fit_bayes(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
     stats = unpivot_numbers(df, numeric, [label]).groupBy("column").agg(
         *[f(side(name)).alias(f"{key}_{name}") for name in ("No", "Yes") for key, f in (("m", F.avg), ("s", F.stddev_samp))]
     )
+    # One row per numeric column.
     moments = {
         r["column"]: tuple((r[f"m_{name}"], r[f"s_{name}"] or FLOOR) for name in ("No", "Yes")) for r in stats.collect()
     }
     sizes = df.agg(F.sum(is_yes(label)).alias("yes"), F.count_if(F.col(label) == "No").alias("no")).head()
     rows = sizes["yes"] + sizes["no"]
-    return MixedBayes({0: sizes["no"] / rows, 1: sizes["yes"] / rows}, levels, moments)
+    return MixedBayes({0: sizes["no"] / rows, 1: sizes["yes"] / rows}, tuple(categorical), levels, moments)

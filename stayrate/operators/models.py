@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.ml import Model
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -70,21 +70,34 @@ def all_models(**params) -> dict:
     return {name: create_model(name, **params) for name in BUILDERS}
 
 
+def calibrate(model: Model, rows: DataFrame) -> PipelineModel:
+    """The model followed by Platt's fit: a slope and an offset that turn margins into probabilities.
+
+    The fit has no penalty and no weights, so on ``rows`` the probabilities add up to the number
+    of 1-labels.
+    """
+    platt = LogisticRegression(
+        featuresCol="rawPrediction", labelCol="label", predictionCol="_side", rawPredictionCol="_odds", maxIter=200, tol=1e-12
+    )
+    return PipelineModel([model, platt.fit(model.transform(rows).select("rawPrediction", "label"))])
+
+
 def train(name: str, rows: DataFrame, **params) -> Model:
-    """Fit on rows with ``features`` and ``label``; class weights are attached when needed."""
+    """Fit on rows with ``features`` and ``label``; class weights are attached when needed, and a
+    model that gives margins is calibrated on the same rows."""
     penalised = "C" in default_params(name)
     estimator = create_model(name, rows.count() if penalised else None, **params)
     if estimator.isSet("weightCol"):
         rows = with_class_weight(rows, "label")
-    return estimator.fit(rows)
+    model = estimator.fit(rows)
+    return calibrate(model, rows) if name == "svm" else model
 
 
 def churn_probability(predictions: DataFrame) -> Column:
-    """Probability of class 1; a margin classifier has its margin mapped to 0..1."""
-    if "probability" in predictions.columns:
-        return vector_to_array("probability")[1]
-    margin = vector_to_array("rawPrediction")[1]
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+    """Probability of class 1."""
+    if "probability" not in predictions.columns:
+        raise ValueError("these predictions are margins: calibrate the model first")
+    return vector_to_array("probability")[1]
 
 
 def predict(model: Model, rows: DataFrame) -> DataFrame:
@@ -143,6 +156,8 @@ def train_all(
 
 def importance(model: Model, names: list[str]) -> DataFrame | None:
     """Rows ``(feature, importance)``, highest first; None for a model without either measure."""
+    if isinstance(model, PipelineModel):  # a calibrated one
+        model = model.stages[0]
     if hasattr(model, "featureImportances"):
         values = model.featureImportances.toArray()
     elif hasattr(model, "coefficients"):

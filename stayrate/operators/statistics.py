@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayrate.functions.columns import add_up, flag, is_yes, recode
+from stayrate.functions.columns import add_up, flag, is_yes
 from stayrate.functions.longform import unpivot_numbers, unpivot_strings
 from stayrate.functions.ranks import quantile_columns
 from stayrate.functions.special import tail
@@ -18,6 +20,8 @@ from stayrate.operators.encoding import fit_moments
 from stayrate.schema import NUMERIC, TARGET
 from stayrate.session import cut_lineage
 
+KERNEL_ROWS = 4096  # values that are compared with a grid at once
+
 
 def chi_square(df: DataFrame, columns: Sequence[str], label: str = TARGET) -> DataFrame:
     """Chi-square of every column against the Yes/No label: ``(column, statistic, dof)``.
@@ -144,18 +148,13 @@ def iqr_multi(
 def density(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC), points: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density at ``points`` grid values per column (Scott bandwidth).
 
-    Equal values are folded first, so the work is distinct values times grid points, and the
-    sums per grid point combine map-side: what is shuffled is the grid, not the data.
+    A task adds its rows to one grid per column and sends the grids alone, so what is shuffled is
+    tasks times columns times grid points. NULL and NaN count as missing.
     """
-    values = (
-        unpivot_numbers(df, columns)
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    fields = []
+    fields, numbers = [], {}
     for c in columns:
         x = F.col(c).cast("double")
+        numbers[c] = x = F.when(~F.isnan(x), x)
         width = F.stddev_samp(x) * F.pow(F.count(x).cast("double"), F.lit(-0.2))
         fields.append(
             F.struct(
@@ -165,20 +164,24 @@ def density(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC), points: int
     params = df.agg(*fields).head()
 
     # A column of fewer than two values, or of one value, has no bandwidth and gives no curve.
-    drawn = [c for c in columns if params[c]["width"]]
-    values = values.where(F.col("column").isin(drawn))
-
-    def per_column(pick) -> Column:
-        return recode("column", {c: pick(params[c]) for c in drawn}) if drawn else F.lit(None).cast("double")
-
-    width = per_column(lambda p: p["width"])
-    start = per_column(lambda p: p["lo"] - p["width"] * cut)
-    step = per_column(lambda p: (p["hi"] - p["lo"] + p["width"] * (2 * cut)) / (points - 1))
-    scale = per_column(lambda p: p["n"] * p["width"] * math.sqrt(2 * math.pi))
-    spread = values.withColumns({"start": start, "step": step, "width": width, "scale": scale}).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    )
-    at = F.col("start") + F.col("step") * F.col("point")
-    u = (at - F.col("value")) / F.col("width")
-    kernel = F.col("n") * F.exp(u * u * -0.5) / F.col("scale")
-    return spread.groupBy("column", "point").agg(F.first(at).alias("x"), F.sum(kernel).alias("density"))
+    drawn = {c: params[c].asDict() for c in columns if params[c]["width"]}
+    grid = {
+        c: p["lo"] - p["width"] * cut + (p["hi"] - p["lo"] + p["width"] * (2 * cut)) / (points - 1) * np.arange(points)
+        for c, p in drawn.items()
+    }
+
+    def add_grids(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = {c: np.zeros(points) for c in drawn}
+        for batch in batches:
+            for c, at in grid.items():
+                values, n = np.unique(batch[c].dropna().to_numpy(dtype=float), return_counts=True)
+                for i in range(0, len(values), KERNEL_ROWS):
+                    u = (at - values[i : i + KERNEL_ROWS, None]) / drawn[c]["width"]
+                    total[c] += n[i : i + KERNEL_ROWS] @ np.exp(u * u * -0.5)
+        for c, at in grid.items():
+            scale = drawn[c]["n"] * drawn[c]["width"] * math.sqrt(2 * math.pi)
+            yield pd.DataFrame({"column": c, "point": np.arange(points), "x": at, "part": total[c] / scale})
+
+    rows = df.select(*[numbers[c].alias(c) for c in drawn] or [F.lit(None).cast("double").alias("none")])
+    grids = rows.mapInPandas(add_grids, "column string, point int, x double, part double")
+    return grids.groupBy("column", "point").agg(F.first("x").alias("x"), F.sum("part").alias("density"))

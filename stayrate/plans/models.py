@@ -57,6 +57,18 @@ register_model("ml_gbt", "gradient_boosting")
 register_model("ml_svm", "svm")
 
 
+@query("ml_svm_calibration", f"""WITH {STRATIFIED.replace('FROM subscribers', 'FROM clean')}
+SELECT count(*) AS n, count(*) FILTER (WHERE Churn = 'Yes') AS churned, round(count(*) FILTER (WHERE Churn = 'Yes')::DOUBLE, 1) AS expected
+FROM stratified WHERE split = 'train'""")
+def svm_calibration(t: Inputs):
+    """Calibrated probabilities of the training rows add up to the churners among them."""
+    train, _ = model_rows(t)
+    scored = models.predict(models.train("svm", train), train)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 1).alias("churned"), F.round(F.sum("score"), 1).alias("expected")
+    )
+
+
 @query("ml_tree_shallow")
 def shallow_tree(t: Inputs):
     """The smaller tree: depth 5 and a least gain per split."""
