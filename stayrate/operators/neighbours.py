@@ -1,16 +1,20 @@
 """Exact k nearest neighbours between two large sets, without emitting pairs.
 
-Reference vectors are assigned to the nearest of a few pivot vectors, which makes cells with a
-known radius. A query first searches its own cell; the distance of its k-th candidate there is a
-bound, and by the triangle inequality only cells that reach within that bound are searched after
-it. Cells and the queries sent to them are cut into blocks of bounded size, so a cell that holds
-a third of all rows is spread over many tasks. A block comparison runs in numpy and emits at most
-k rows per query.
+Reference vectors lie in cells around pivots, in two levels: coarse pivots, whose number grows with
+the square root of the references, and inside each coarse cell pivots of its own, which stay a
+table. A cell has a known radius and size. A query first searches its own cell; the distance of
+its k-th candidate there is a bound (and so is the reach of the nearest cells that hold enough
+rows), and by the triangle inequality only cells that reach within that bound are searched after
+it: coarse cells first, then the inner cells of those. Cells and the queries sent to them are cut
+into blocks of bounded size, so a cell that holds a third of all rows is spread over many tasks. A
+block comparison runs in numpy and emits at most k rows per query. Tables of any size take this
+path.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,11 +25,11 @@ from stayrate.session import cut_lineage
 
 BLOCK = 8192  # rows of either side in one block comparison, about
 CELL = 2048  # reference rows per cell, about: small cells prune better
-MAX_PIVOTS = 1024
 # Slack on pruning bounds, so that rounding never excludes a true neighbour.
 SLACK = 1e-9
 MARGIN = 1e-10
 PAIRS = 200_000
+STEP = 512  # rows that are compared with all pivots at a time
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -75,22 +79,133 @@ def nearest_in_block(queries: pd.DataFrame, refs: pd.DataFrame, k: int, step: in
         )
 
 
+@dataclass
+class Coarse:
+    """Coarse pivots with the radius and size of their cells: arrays as long as the square root of
+    the number of cells."""
+
+    pivots: np.ndarray
+    radius: np.ndarray
+    size: np.ndarray
+
+
+def enough(reach: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
+    """Per row, the least reach within which cells hold ``k`` rows or more; infinite without any."""
+    order = np.argsort(reach, axis=1, kind="stable")
+    held = np.cumsum(size[order], axis=1)
+    at = (held < k).sum(axis=1)
+    found = at < held.shape[1]
+    rows = np.arange(len(reach))
+    last = order[rows, np.minimum(at, held.shape[1] - 1)]
+    return np.where(found, reach[rows, last], np.inf)
+
+
 def pick_pivots(refs: DataFrame, count: int) -> np.ndarray:
-    """A fixed pseudo-random choice of reference vectors: at most ``MAX_PIVOTS`` driver rows."""
+    """A fixed pseudo-random choice of ``count`` reference vectors, brought to the driver."""
     rows = refs.select("rid", "x").orderBy(F.md5(F.concat(F.lit("pivot:"), "rid")), "rid").limit(count).collect()
     return np.array([r["x"] for r in rows], dtype=float)
 
 
-def assign_cells(df: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Nearest pivot of every row and the distance to it."""
+def assign_coarse(df: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Nearest coarse pivot of every row and the distance to it."""
 
-    @F.pandas_udf("cell int, away double")
+    @F.pandas_udf("coarse int, away double")
     def nearest(x: pd.Series) -> pd.DataFrame:
-        d = distances(_matrix(x), pivots)
-        cell = d.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype("int32"), "away": d[np.arange(len(cell)), cell]})
+        rows, parts = _matrix(x), []
+        for i in range(0, len(rows), STEP):
+            d = distances(rows[i : i + STEP], pivots)
+            at = d.argmin(axis=1)
+            parts.append(pd.DataFrame({"coarse": at.astype("int32"), "away": d[np.arange(len(at)), at]}))
+        return pd.concat(parts, ignore_index=True)
+
+    return df.withColumn("_c", nearest("x")).select(*df.columns, "_c.coarse", "_c.away")
+
+
+def meet_pivots(rows: DataFrame, pivots: DataFrame, id_column: str, block: int, compare: Callable, schema: str) -> DataFrame:
+    """``compare(rows, pivots)`` for all rows of each coarse cell, in blocks, with all its inner pivots."""
+    n = F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int")
+    plan = rows.groupBy("coarse").agg(n.alias("n"))
+    left = rows.join(plan, "coarse").withColumn("part", F.pmod(F.xxhash64(id_column), F.col("n")).cast("int"))
+    right = pivots.join(plan, "coarse").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    names = [field.split()[0] for field in schema.split(", ")]
+
+    def search(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        parts = [compare(a.iloc[i : i + STEP], b) for i in range(0, len(a), STEP)] if len(b) else []
+        return pd.concat(parts, ignore_index=True)[names] if parts else pd.DataFrame(columns=names)
+
+    # Both sides may stem from one frame: columns of their own keep them apart.
+    left, right = (df.select(*[F.col(c).alias(c) for c in df.columns if c != "n"]) for df in (left, right))
+    keys = ["coarse", "part"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, schema)
 
-    return df.withColumn("_c", nearest("x")).select(*df.columns, "_c.cell", "_c.away")
+
+def reference_cells(refs: DataFrame, cell: int, block: int) -> tuple[DataFrame, DataFrame, Coarse]:
+    """References with their ``cell``, the inner pivots ``(coarse, cell, px, radius, size)``, and the
+    coarse level. A cell is named after the reference at its pivot."""
+    count = refs.count()
+    refs = cut_lineage(assign_coarse(refs, pick_pivots(refs, max(1, int(np.ceil(np.sqrt(count / cell)))))))
+    # A hash chooses the inner pivots; a coarse pivot (at distance 0) is always one.
+    chosen = (F.pmod(F.xxhash64("rid"), F.lit(cell)) == 0) | (F.col("away") == 0)
+    pivots = cut_lineage(refs.where(chosen).select("coarse", F.col("rid").alias("cell"), F.col("x").alias("px")))
+
+    def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("cell", kind="stable")
+        d = distances(_matrix(a["x"]), _matrix(b["px"]))
+        at = d.argmin(axis=1)
+        return a.assign(cell=b["cell"].to_numpy()[at], near=d[np.arange(len(at)), at])
+
+    schema = "rid string, x array<double>, coarse int, away double, cell string, near double"
+    refs = cut_lineage(meet_pivots(refs, pivots, "rid", block, nearest, schema))
+    sizes = refs.groupBy("coarse", "cell").agg(F.max("near").alias("radius"), F.count(F.lit(1)).alias("size"))
+    pivots = cut_lineage(pivots.join(sizes, ["coarse", "cell"]))
+    # One row per coarse cell that has references; pivots equal to an earlier one have none.
+    totals = refs.groupBy("coarse").agg(F.max("away").alias("far"), F.count(F.lit(1)).alias("n")).orderBy("coarse").collect()
+    at = refs.where("away = 0").groupBy("coarse").agg(F.first("x").alias("x")).orderBy("coarse").collect()
+    coarse = Coarse(np.array([r["x"] for r in at], dtype=float), np.array([r["far"] for r in totals]), np.array([r["n"] for r in totals]))
+    renumbered = {r["coarse"]: i for i, r in enumerate(totals)}
+    if list(renumbered) != list(range(len(renumbered))):
+        names = refs.sparkSession.createDataFrame(list(renumbered.items()), "coarse int, _to int")
+        pivots = pivots.join(names, "coarse").withColumn("coarse", F.col("_to")).drop("_to")
+    return refs.select("rid", "x", "cell"), pivots, coarse
+
+
+def home_cells(queries: DataFrame, pivots: DataFrame, coarse: Coarse, k: int, block: int) -> DataFrame:
+    """Queries ``(qid, x, coarse, cell, bound)`` with their own cell, and a bound on the distance of
+    the k-th neighbour from the reach of cells that hold enough rows."""
+
+    def home(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        b = b.sort_values("cell", kind="stable")
+        x = _matrix(a["x"])
+        d = distances(x, _matrix(b["px"]))
+        # One row more, as a query may be a reference itself.
+        inner = enough(d + b["radius"].to_numpy(), b["size"].to_numpy(), k + 1)
+        outer = enough(distances(x, coarse.pivots) + coarse.radius, coarse.size, k + 1)
+        return a.assign(cell=b["cell"].to_numpy()[d.argmin(axis=1)], bound=np.minimum(inner, outer))
+
+    rows = cut_lineage(assign_coarse(queries.select("qid", "x"), coarse.pivots))
+    return meet_pivots(rows, pivots, "qid", block, home, "qid string, x array<double>, coarse int, cell string, bound double")
+
+
+def reached_cells(queries: DataFrame, pivots: DataFrame, coarse: Coarse, block: int) -> DataFrame:
+    """``(qid, x, cell)``: the cells, other than its own, that reach within a query's ``bound``."""
+
+    @F.pandas_udf("array<int>")
+    def reach(x: pd.Series, limit: pd.Series) -> pd.Series:
+        rows, most, out = _matrix(x), limit.to_numpy() * (1 + SLACK) + SLACK, []
+        for i in range(0, len(rows), STEP):
+            near = distances(rows[i : i + STEP], coarse.pivots) - coarse.radius <= most[i : i + STEP, None]
+            out += [np.flatnonzero(row).astype("int32").tolist() for row in near]
+        return pd.Series(out)
+
+    def inside(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        d = distances(_matrix(a["x"]), _matrix(b["px"]))
+        near = d - b["radius"].to_numpy() <= a["bound"].to_numpy()[:, None] * (1 + SLACK) + SLACK
+        near &= a["cell"].to_numpy()[:, None] != b["cell"].to_numpy()[None, :]
+        rows, cols = np.nonzero(near)
+        return a[["qid", "x"]].iloc[rows].assign(cell=b["cell"].to_numpy()[cols])
+
+    spread = cut_lineage(queries.withColumn("coarse", F.explode(reach("x", "bound"))))
+    return meet_pivots(spread, pivots, "qid", block, inside, "qid string, x array<double>, cell string")
 
 
 def compare_blocks(queries: DataFrame, refs: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
@@ -104,9 +219,9 @@ def compare_blocks(queries: DataFrame, refs: DataFrame, k: int, block: int = BLO
         n = F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int")
         return df.groupBy("cell").agg(n.alias("n"))
 
-    # One row per cell: at most MAX_PIVOTS.
+    # One row per cell: the planner decides by its size how it is joined.
     plan = blocks(queries).withColumnRenamed("n", "nq").join(blocks(refs).withColumnRenamed("n", "nr"), "cell")
-    plan = F.broadcast(plan)
+    plan = cut_lineage(plan)
     q = queries.join(plan, "cell").select(
         F.col("cell").alias("cell"),
         F.pmod(F.xxhash64("qid"), F.col("nq")).cast("int").alias("qb"),
@@ -151,36 +266,16 @@ def nearest_neighbours(
     copies = Window.partitionBy("x").orderBy("rid")
     distinct = refs.withColumn("_n", F.row_number().over(copies)).where(F.col("_n") <= k + 1).drop("_n")
     refs = cut_lineage(distinct.select("rid", "x"))
-    count = refs.count()
-    if count == 0:
+    if refs.isEmpty():
         return queries.sparkSession.createDataFrame([], "qid string, rid string, dist double, rank int")
-    pivots = pick_pivots(refs, max(1, min(MAX_PIVOTS, -(-count // cell))))
-    refs = cut_lineage(assign_cells(refs, pivots))
-    queries = cut_lineage(assign_cells(queries.select("qid", "x"), pivots))
-    home = compare_blocks(queries, refs, k, block)
-    if len(pivots) == 1:
-        return keep_nearest(home, k)
-    home = cut_lineage(keep_nearest(home, k))
-
-    # One row per cell, at most MAX_PIVOTS of them.
-    radius = np.full(len(pivots), -np.inf)
-    for row in refs.groupBy("cell").agg(F.max("away").alias("far")).collect():
-        radius[row["cell"]] = row["far"]
-    bound = home.groupBy("qid").agg(F.max("dist").alias("bound"), F.count(F.lit(1)).alias("found"))
-    bounded = queries.join(bound, "qid", "left").withColumn(
-        "bound", F.when(F.col("found") >= k, F.col("bound")).otherwise(F.lit(float("inf")))
-    )
-
-    @F.pandas_udf("array<int>")
-    def reach(x: pd.Series, cell: pd.Series, limit: pd.Series) -> pd.Series:
-        d = distances(_matrix(x), pivots)
-        near = d - radius[None, :] <= limit.to_numpy()[:, None] * (1 + SLACK) + SLACK
-        near[np.arange(len(cell)), cell.to_numpy()] = False
-        return pd.Series([np.flatnonzero(row).astype("int32").tolist() for row in near])
-
-    others = bounded.select("qid", "x", F.explode(reach("x", "cell", "bound")).alias("cell"))
-    away = compare_blocks(cut_lineage(others), refs, k, block)
-    return keep_nearest(home.drop("rank").unionByName(away), k)
+    refs, pivots, coarse = reference_cells(refs, cell, block)
+    queries = cut_lineage(home_cells(queries, pivots, coarse, k, block))
+    home = cut_lineage(keep_nearest(compare_blocks(queries, refs, k, block), k))
+    found = home.groupBy("qid").agg(F.max("dist").alias("_far"), F.count(F.lit(1)).alias("_n"))
+    closer = F.when(F.col("_n") >= k, F.least("bound", "_far")).otherwise(F.col("bound"))
+    bounded = queries.join(found, "qid", "left").withColumn("bound", closer).drop("_far", "_n")
+    others = cut_lineage(reached_cells(bounded, pivots, coarse, block))
+    return keep_nearest(home.drop("rank").unionByName(compare_blocks(others, refs, k, block)), k)
 
 
 def knn_vote(queries: DataFrame, refs: DataFrame, k: int = 5) -> DataFrame:

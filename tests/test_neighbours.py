@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from stayrate.operators.neighbours import knn_vote, nearest_neighbours
+from stayrate.operators.neighbours import enough, home_cells, knn_vote, nearest_neighbours, reached_cells, reference_cells
 
 
 def brute(queries, refs, k):
@@ -63,3 +63,38 @@ def test_far_from_the_origin(spark):
     refs = [(f"r{i:03}", (1e6 + rng.normal(0, 1e-2, 3)).tolist()) for i in range(80)]
     rdf = spark.createDataFrame(refs, "rid string, x array<double>")
     assert ranked(nearest_neighbours(rdf.withColumnRenamed("rid", "qid"), rdf, 3)) == brute(refs, refs, 3)
+
+
+def test_work_per_query_does_not_grow(spark):
+    """In few dimensions a query meets about as many references in a table ten times as large."""
+    rng = np.random.default_rng(4)
+    met = {}
+    for n in (2000, 20000):
+        points = [(f"p{i:05}", rng.uniform(0, 1, 2).tolist()) for i in range(n)]
+        refs = spark.createDataFrame(points, "rid string, x array<double>")
+        queries = spark.createDataFrame(points[:400], "qid string, x array<double>")
+        cells, pivots, coarse = reference_cells(refs, 50, 8192)
+        assert len(coarse.pivots) <= np.ceil(np.sqrt(n / 50))
+        own = home_cells(queries, pivots, coarse, 3, 8192)
+        sizes = {r["cell"]: r["size"] for r in pivots.collect()}
+        assert sum(sizes.values()) == n == cells.count()
+        visits = own.select("cell").union(reached_cells(own, pivots, coarse, 8192).select("cell")).collect()
+        met[n] = sum(sizes[r["cell"]] for r in visits) / 400
+    assert met[20000] < 1.5 * met[2000]
+    assert met[20000] < 2000
+
+
+def test_cells_that_hold_enough():
+    reach = np.array([[3.0, 1.0, 2.0], [1.0, 5.0, 9.0]])
+    size = np.array([4, 1, 2])
+    assert enough(reach, size, 1).tolist() == [1.0, 1.0]
+    assert enough(reach, size, 3).tolist() == [2.0, 1.0]
+    assert enough(reach, size, 7).tolist() == [3.0, 9.0]
+    assert enough(reach, size, 8).tolist() == [np.inf, np.inf]
+
+
+def test_equal_vectors_and_no_queries(spark):
+    rdf = spark.createDataFrame([(f"r{i}", [1.0, 1.0]) for i in range(40)], "rid string, x array<double>")
+    found = ranked(nearest_neighbours(rdf.withColumnRenamed("rid", "qid"), rdf, 3, 8, 4))
+    assert found["r0"] == ["r1", "r10", "r11"] and found["r39"] == ["r0", "r1", "r10"] and len(found) == 40
+    assert nearest_neighbours(rdf.withColumnRenamed("rid", "qid").limit(0), rdf, 3).count() == 0
