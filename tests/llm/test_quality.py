@@ -64,6 +64,17 @@ def test_forest_keeps_good_and_rejects_odd(spark):
     assert rate[0] < 0.3
 
 
+def test_all_rates_reach_a_verdict(spark):
+    """A table of numbers is odd in digits and word length alone; long clean documents are kept."""
+    docs, labels = read_table(spark, MIDDLE, "documents"), read_table(spark, MIDDLE, "labels")
+    forest = quality_rules.fit(docs, labels)
+    good = docs.join(labels.where("quality = 1"), "doc_id").orderBy("doc_id").limit(200)
+    texts = [r["text"] for r in good.select("text").collect()]
+    rows = [("numbers", " ".join(map(str, range(100_000, 100_400)))), ("long", "\n".join(texts)), ("clean", texts[0])]
+    out = quality_rules.judged(spark.createDataFrame(rows, "doc_id string, text string"), forest)
+    assert {r["doc_id"]: (r["base_failed"], r["kept"]) for r in out.collect()} == {"numbers": (False, False), "long": (False, True), "clean": (False, True)}
+
+
 def test_fit_without_labels(edges, spark, none):
     empty = spark.createDataFrame([], LABELS)
     assert quality_rules.fit(edges, empty) is None
