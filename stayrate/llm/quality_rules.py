@@ -1,13 +1,14 @@
 """Quality rules: fixed limits, and an isolation forest on rule statistics.
 
-The forest takes a bounded sample of labelled documents and all their rates (``measures.RATES``).
-Each tree holds documents labelled good and
-splits the space that all labelled ones span at random; documents that few splits part from the
-good ones are anomalies. (Were the bad ones in the trees, too, their clusters would look usual.) The path length below which a
+The forest takes all labelled documents and all their rates (``measures.RATES``).
+Each tree splits the space that all labelled ones span at random, and counts all documents labelled
+good in its parts; documents that few splits part from the
+good ones are anomalies. (Were the bad ones counted, too, their clusters would look usual.) The path length below which a
 document is rejected is calibrated on the labelled rows: of all cuts that keep at least
 ``KEEP_GOOD`` of the rows labelled good, the one that tells the labels apart best (share of bad
 rows rejected less share of good rows rejected). Without rows of both labels nothing is rejected by
-the forest.
+the forest. Rates, spans, counts and lengths of the labelled rows are computed in tasks; the driver gets the
+counts of the parts, whose number has a fixed bound.
 
 Every whole text is measured. A NULL text counts as empty; it has no words and fails the base rule.
 """
@@ -23,15 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+from stayrate.functions.ranks import running_totals
 from stayrate.llm.measures import COUNTS, RATES, measure
-from stayrate.llm.scratch import without
+from stayrate.llm.scratch import Scratch, without
 from stayrate.llm.text import WordHashes, give_back, pieces, utf8
 
-#: Labelled rows used, chosen by a hash of their id.
-SAMPLE_ROWS = 8192
 TREES = 200
-TREE_ROWS = 1024
 DEPTH = 12
+#: Rows whose way through a tree is followed at a time.
+STEP = 4096
 KEEP_GOOD = 0.998
 MIN_WORDS = 20
 MOST_REPEATED = 30
@@ -70,65 +71,83 @@ class Forest:
         return self.path_lengths(rows) < self.threshold
 
 
-def expected_length(n: int) -> float:
+def expected_length(n: np.ndarray) -> np.ndarray:
     """Mean path length of an unsuccessful search among ``n`` rows."""
-    return 0.0 if n < 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
+    return np.where(n < 2, 0.0, 2 * (np.log(np.maximum(n - 1, 1)) + np.euler_gamma) - 2 * (n - 1) / np.maximum(n, 1))
 
 
-def grow(usual: np.ndarray, low: np.ndarray, high: np.ndarray, seed: int = 7) -> Forest:
-    """Trees over ``usual`` rows; cuts are uniform between ``low`` and ``high``, and then between the
-    cuts made before."""
+def random_cuts(low: np.ndarray, high: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, cut) of the inner nodes of whole trees: node ``i`` splits into ``2i + 1`` and ``2i + 2``. Cuts
+    are uniform between ``low`` and ``high``, and then between the cuts made before."""
     random = np.random.default_rng(seed)
-    size = min(TREE_ROWS, len(usual))
     open_features = np.flatnonzero(high > low)
-    trees = []
-    for _ in range(TREES):
-        nodes = [(-1, 0.0, 0, 0.0)]
-        todo = [(0, 0, usual[random.choice(len(usual), size, replace=False)], low, high)]
-        while todo:
-            node, level, part, lowest, highest = todo.pop()
-            if level == DEPTH or len(part) < 2 or not len(open_features):
-                nodes[node] = (-1, 0.0, 0, level + expected_length(len(part)))
-                continue
-            k = int(random.choice(open_features))
-            at = random.uniform(lowest[k], highest[k])
-            left = len(nodes)
-            nodes[node] = (k, at, left, 0.0)
-            nodes += [(-1, 0.0, 0, 0.0)] * 2
-            right = part[:, k] >= at
-            below, above = highest.copy(), lowest.copy()
-            below[k] = above[k] = at
-            todo += [(left, level + 1, part[~right], lowest, below), (left + 1, level + 1, part[right], above, highest)]
-        trees.append(nodes)
-    longest = max(map(len, trees))
-    padded = [t + [(-1, 0.0, 0, 0.0)] * (longest - len(t)) for t in trees]
-    types = (np.int32, np.float64, np.int32, np.float32)
-    return Forest(*[np.array([[n[i] for n in t] for t in padded], kind) for i, kind in enumerate(types)])
-
-
-def calibrated(rows: np.ndarray, good: np.ndarray) -> Forest | None:
-    if not good.any():
-        return None
-    forest = grow(rows[good], rows.min(axis=0), rows.max(axis=0))
-    if (~good).any():
-        lengths = forest.path_lengths(rows)
-        cuts = np.unique(lengths)
-        kept_good = 1 - np.searchsorted(np.sort(lengths[good]), cuts, "left") / good.sum()
-        lost_bad = np.searchsorted(np.sort(lengths[~good]), cuts, "left") / (~good).sum()
-        gain = np.where(kept_good >= KEEP_GOOD, lost_bad - (1 - kept_good), -1)
-        best = int(np.argmax(gain))
-        if best:
-            # Halfway to the next longer path that was not rejected.
-            forest.threshold = float((cuts[best - 1] + cuts[best]) / 2)
+    feature, cut = np.zeros((TREES, 2**DEPTH - 1), np.int32), np.full((TREES, 2**DEPTH - 1), np.inf)
+    if not len(open_features):
+        return feature, cut
+    for tree in range(TREES):
+        lowest, highest = low[None, :], high[None, :]
+        for level in range(DEPTH):
+            every = np.arange(2**level)
+            k = random.choice(open_features, 2**level)
+            at = random.uniform(lowest[every, k], highest[every, k])
+            feature[tree, 2**level - 1 : 2 ** (level + 1) - 1] = k
+            cut[tree, 2**level - 1 : 2 ** (level + 1) - 1] = at
+            lowest, highest = lowest.repeat(2, axis=0), highest.repeat(2, axis=0)
+            highest[2 * every, k] = lowest[2 * every + 1, k] = at
+    return feature, cut
+
+
+def count_parts(rows: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Rows in each of the parts that the last cuts of every tree make."""
+    counts = np.zeros((TREES, 2**DEPTH), np.int64)
+    for start in range(0, len(rows), STEP):
+        some = rows[start : start + STEP]
+        every = np.arange(len(some))
+        for tree in range(TREES):
+            at = np.zeros(len(some), np.int64)
+            for _ in range(DEPTH):
+                at = 2 * at + 1 + (some[every, feature[tree, at]] >= cut[tree, at])
+            counts[tree] += np.bincount(at - (2**DEPTH - 1), minlength=2**DEPTH)
+    return counts
+
+
+def pruned(feature: np.ndarray, cut: np.ndarray, counts: np.ndarray) -> Forest:
+    """The trees down to the nodes that hold fewer than two of the counted rows."""
+    levels = [counts]
+    while levels[0].shape[1] > 1:
+        levels.insert(0, levels[0].reshape(TREES, -1, 2).sum(axis=2))
+    held = np.concatenate(levels, axis=1)
+    level = np.repeat(np.arange(DEPTH + 1), 2 ** np.arange(DEPTH + 1))
+    inner = (held >= 2) & (level < DEPTH)
+    node = np.arange(1, held.shape[1])
+    there = np.ones(held.shape, bool)
+    there[:, 1:] = inner[:, (node - 1) // 2]
+    longest = int(there.sum(axis=1).max())
+    forest = Forest(*[np.zeros((TREES, longest), t) for t in (np.int32, np.float64, np.int32, np.float32)])
+    forest.feature -= 1
+    for tree in range(TREES):
+        kept = np.flatnonzero(there[tree])
+        number = np.cumsum(there[tree]) - 1
+        splits = kept[inner[tree, kept]]
+        forest.feature[tree, number[splits]] = feature[tree, splits]
+        forest.cut[tree, number[splits]] = cut[tree, splits]
+        forest.left[tree, number[splits]] = number[2 * splits + 1]
+        forest.length[tree, : len(kept)] = level[kept] + expected_length(held[tree, kept])
     return forest
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "quality") -> Forest | None:
-    """A calibrated forest from at most ``SAMPLE_ROWS`` labelled rows; None without any."""
-    some = (
+def grow(usual: np.ndarray, low: np.ndarray, high: np.ndarray, seed: int = 7) -> Forest:
+    """Trees over ``usual`` rows, all of which are counted."""
+    cuts = random_cuts(low, high, seed)
+    return pruned(*cuts, count_parts(usual, *cuts))
+
+
+def labelled_rates(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label: str) -> DataFrame:
+    """``(good, rates)`` of every labelled document of ``MIN_WORDS`` words or more. Texts are measured where they
+    lie; what is joined is small."""
+    known = (
         labels.where(F.col(label).isNotNull() & F.col(id_column).isNotNull())
         .groupBy(F.col(id_column).alias("_id")).agg(F.min(label).alias("_label"))
-        .orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_ROWS)
     )
 
     def rates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,19 +155,67 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
         for batch in pieces(batches, "_text", BATCH_BYTES):
             counts = [measure(b, hashes) for b in utf8(batch.column("_text"))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_label"), pa.array([c[0] for c, _ in counts], pa.int64()), pa.array([r for _, r in counts], pa.list_(pa.float64()))],
-                names=["_id", "_label", "n_words", "rates"],
+                [batch.column("_id"), pa.array([c[0] for c, _ in counts], pa.int64()), pa.array([r for _, r in counts], pa.list_(pa.float64()))],
+                names=["_id", "n_words", "rates"],
             )
+        give_back()
+
+    some = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).alias("_id"), F.col(text).alias("_text"))
+    measured = some.mapInArrow(rates, f"_id {some.schema['_id'].dataType.simpleString()}, n_words long, rates array<double>")
+    found = measured.join(known, "_id").groupBy("_id").agg(F.min("_label").alias("_label"), F.min(F.struct("n_words", "rates")).alias("_m"))
+    return found.where(F.col("_m.n_words") >= MIN_WORDS).select((F.col("_label") == 1).alias("good"), F.col("_m.rates").alias("rates"))
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.flatten()).reshape(-1, len(RATES))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "quality") -> Forest | None:
+    """A forest over all labelled documents, calibrated on all of them; None without any good one."""
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.store(labelled_rates(docs, labels, id_column, text, label), "rates")
+    span = [f(F.col("rates")[i]).alias(f"{n}{i}") for n, f in (("low", F.min), ("high", F.max)) for i in range(len(RATES))]
+    totals = rows.agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"), *span).head()
+    forest = None
+    if totals["good"]:
+        forest = counted(rows.where("good"), *[np.array([totals[f"{n}{i}"] for i in range(len(RATES))]) for n in ("low", "high")])
+        if totals["bad"]:
+            forest.threshold = threshold(rows, forest)
+    scratch.drop("rates")
+    return forest
+
+
+def counted(good: DataFrame, low: np.ndarray, high: np.ndarray) -> Forest:
+    """``grow`` over the rows of a frame: tasks count, and their counts are added up."""
+    cuts = random_cuts(low, high)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((TREES, 2**DEPTH), np.int64)
+        for batch in batches:
+            counts += count_parts(matrix(batch.column("rates")), *cuts)
+        trees, parts = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(trees.astype(np.int32)), pa.array(parts.astype(np.int32)), pa.array(counts[trees, parts])], names=["tree", "part", "n"])
+
+    found = good.select("rates").mapInArrow(count, "tree int, part int, n long").groupBy("tree", "part").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros((TREES, 2**DEPTH), np.int64)
+    counts[found["tree"].to_numpy(), found["part"].to_numpy()] = found["n"].to_numpy()
+    return pruned(*cuts, counts)
+
+
+def threshold(rows: DataFrame, forest: Forest) -> float:
+    """Halfway between the best path length to reject below and the next shorter one; rejects nothing
+    where that is best."""
+
+    def lengths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(forest.path_lengths(matrix(batch.column("rates"))))], names=["good", "length"])
 
-    # The sample has a fixed bound, so it may be broadcast and its rates collected.
-    joined = docs.select(F.col(id_column).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(some), "_id")
-    schema = StructType([joined.schema["_id"], joined.schema["_label"]])
-    found = joined.mapInArrow(rates, f"_id {schema['_id'].dataType.simpleString()}, _label {schema['_label'].dataType.simpleString()}, n_words long, rates array<double>")
-    found = found.dropDuplicates(["_id"]).where(F.col("n_words") >= MIN_WORDS).orderBy("_id").collect()
-    if not found:
-        return None
-    rows = np.array([r["rates"] for r in found])
-    return calibrated(rows, np.array([r["_label"] == 1 for r in found]))
+    found = rows.mapInArrow(lengths, "good boolean, length double")
+    steps = running_totals(found, [], "length", {"good": F.count_if("good"), "bad": F.count_if(~F.col("good"))})
+    lost = {n: (F.col(f"cum_{n}") - F.col(n)) / F.col(f"all_{n}") for n in ("good", "bad")}
+    best = steps.where(1 - lost["good"] >= KEEP_GOOD).select("length", (lost["bad"] - lost["good"]).alias("gain")).orderBy(F.desc("gain"), "length").head()
+    shorter = found.where(F.col("length") < best["length"]).agg(F.max("length")).head()[0]
+    return -np.inf if shorter is None else (shorter + best["length"]) / 2
 
 
 def verdicts(texts: list[bytes], forest: Forest | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -87,6 +87,37 @@ def test_fit_without_labels(edges, spark, none):
     assert out.columns == [*edges.columns, "kept"] and out.count() == kept
 
 
+def test_every_labelled_row_counts(spark):
+    """More good documents than any bound on fitted rows: all are counted in every tree, and the last ones set the span."""
+    n = 9000
+    texts = F.concat(F.repeat(F.concat(F.lit("word"), F.pmod("id", F.lit(7)), F.lit(". ")), 30), F.when(F.col("id") == n - 1, F.repeat(F.lit("# "), 40)).otherwise(""))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), texts.alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    rows = quality_rules.labelled_rates(docs, labels, "doc_id", "text", "quality")
+    x = np.array([r["rates"] for r in rows.collect()])
+    assert len(x) == n
+    forest = quality_rules.fit(docs, labels)
+    whole = quality_rules.grow(x, x.min(axis=0), x.max(axis=0))
+    assert all(np.array_equal(getattr(forest, f), getattr(whole, f)) for f in ("feature", "cut", "left", "length"))
+    assert forest.threshold == -np.inf
+
+
+def test_threshold_by_hand(spark):
+    """The cut of all labelled rows, as found on their sorted lengths."""
+    docs, labels = read_table(spark, SMALL, "documents"), read_table(spark, SMALL, "labels")
+    forest = quality_rules.fit(docs, labels)
+    rows = quality_rules.labelled_rates(docs, labels, "doc_id", "text", "quality").collect()
+    lengths, good = forest.path_lengths(np.array([r["rates"] for r in rows])), np.array([r["good"] for r in rows])
+    gains = {}
+    for cut in np.unique(lengths):
+        lost_good, lost_bad = (lengths[good] < cut).mean(), (lengths[~good] < cut).mean()
+        if 1 - lost_good >= quality_rules.KEEP_GOOD:
+            gains[cut] = lost_bad - lost_good
+    best = max(gains, key=lambda c: (gains[c], -c))
+    shorter = lengths[lengths < best]
+    assert forest.threshold == pytest.approx((shorter.max() + best) / 2 if len(shorter) else -np.inf)
+
+
 def test_classifier_on_held_out_rows(spark):
     docs, labels = read_table(spark, MIDDLE, "documents"), read_table(spark, MIDDLE, "labels")
     scored = quality_model.scored(docs.select("doc_id", "text"), quality_model.fit(docs, labels)).drop("text")
