@@ -98,3 +98,19 @@ def test_equal_vectors_and_no_queries(spark):
     found = ranked(nearest_neighbours(rdf.withColumnRenamed("rid", "qid"), rdf, 3, 8, 4))
     assert found["r0"] == ["r1", "r10", "r11"] and found["r39"] == ["r0", "r1", "r10"] and len(found) == 40
     assert nearest_neighbours(rdf.withColumnRenamed("rid", "qid").limit(0), rdf, 3).count() == 0
+
+
+def test_few_cells_are_near_in_one_hot_vectors(spark):
+    """Indicators part the rows without a remainder: of many cells a query meets few."""
+    rng = np.random.default_rng(8)
+    bits = rng.integers(0, 2, (6000, 7)) * 2.0
+    points = [(f"p{i:04}", [*b.tolist(), *(2 - b).tolist(), float(v)]) for i, (b, v) in enumerate(zip(bits, rng.uniform(0, 1, 6000)))]
+    refs = spark.createDataFrame(points, "rid string, x array<double>")
+    queries = spark.createDataFrame(points[:300], "qid string, x array<double>")
+    cells, inner, coarse = reference_cells(refs, 40, 8192)
+    own = home_cells(queries, inner, coarse, 3, 8192)
+    near = own.select("cell").union(reached_cells(own, inner, coarse, 8192).select("cell"))
+    met = near.join(inner.select("cell", "size"), "cell").agg({"size": "sum"}).head()[0] / 300
+    assert met < 600
+    found = nearest_neighbours(queries, refs, 3, 8192, 40)
+    assert ranked(found) == brute(points[:300], points, 3)
