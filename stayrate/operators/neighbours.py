@@ -336,8 +336,10 @@ def nearest_neighbours(
     """Rows ``(qid, rid, dist, rank)`` with the exact k nearest references of every query.
 
     ``queries`` has ``(qid, x)`` and ``refs`` ``(rid, x)``: text ids and arrays of doubles. A row
-    is never its own neighbour.
+    is never its own neighbour. One with a NULL or NaN in its vector is none of any, and has none.
     """
+    unknown = F.exists("x", lambda v: v.isNull() | F.isnan(v))
+    queries, refs = (df.where(F.col("x").isNotNull() & ~unknown) for df in (queries, refs))
     # Equal vectors tie, and ties go by id: of any number of copies only k + 1 can be chosen by
     # anyone. The rank filter is applied before the shuffle as well as after it.
     copies = Window.partitionBy("x").orderBy("rid")

@@ -114,3 +114,10 @@ def test_few_cells_are_near_in_one_hot_vectors(spark):
     assert met < 600
     found = nearest_neighbours(queries, refs, 3, 8192, 40)
     assert ranked(found) == brute(points[:300], points, 3)
+
+
+def test_unknown_coordinates_take_no_part(spark):
+    refs = [("a", [0.0, 0.0]), ("b", [None, 1.0]), ("c", [float("nan"), 0.0]), ("d", [1.0, 0.0]), ("e", [0.0, 2.0]), ("f", None)]
+    rdf = spark.createDataFrame(refs, "rid string, x array<double>")
+    found = ranked(nearest_neighbours(rdf.withColumnRenamed("rid", "qid"), rdf, 2, 8, 2))
+    assert found == {"a": ["d", "e"], "d": ["a", "e"], "e": ["a", "d"]}
