@@ -139,3 +139,23 @@ def test_csv_reader(spark, make):
         readers.read_csv(spark, path + "-missing")
     records = readers.read_records(spark, [{"a": 1, "b": "x"}, {"a": 2, "b": None}])
     assert records.count() == 2 and readers.read_records(spark, {"a": 1}).columns == ["a"]
+
+
+def test_fits_take_even_tasks(spark):
+    """A table read in uneven tasks is spread over all cores, whole; a small one is left as it lies."""
+    uneven = spark.range(models.SPREAD_ROWS).repartition(1).union(spark.range(3).repartition(1))
+    sizes = models.spread(uneven).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism and sum(r["count"] for r in sizes) == models.SPREAD_ROWS + 3
+    assert max(r["count"] for r in sizes) < 1.1 * min(r["count"] for r in sizes)
+    small = spark.range(30).repartition(3)
+    assert models.spread(small) is small
+
+
+def test_fits_run_side_by_side():
+    from threading import Barrier
+
+    meet = Barrier(2, timeout=30)  # a fit that ran alone would wait in vain
+    ended = models.train_side_by_side({"b": meet.wait, "a": meet.wait, "c": lambda: 1 / 0})
+    assert list(ended) == ["b", "a", "c"] and {ended["a"].result(), ended["b"].result()} == {0, 1}
+    with pytest.raises(ZeroDivisionError):
+        ended["c"].result()
