@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -77,6 +78,32 @@ def test_products_beyond_64_bits(spark):
     assert got == {("a",): many + 7, ("a", "b"): many, ("b",): many + 1, (): 2**62}
 
 
+@pytest.mark.parametrize("hot", [0, 1, 3, 5])
+def test_dealt_by_longer_prefixes(spark, rows, monkeypatch, hot):
+    """Windows of frequent words meet by two, three or all words; several slices then share a prefix."""
+    for name, value in {"HOT_BITS": hot, "TOGETHER_BITS": 9, "CHUNK_BYTES": 300, "WORD_SLICE_BYTES": 100, "WINDOW_SLICE_BYTES": 100}.items():
+        monkeypatch.setattr(phrases, name, value)
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    assert got(phrases.mine(docs, least=3)) == plain(rows, least=3)
+
+
+def test_rollup_gets_as_many_rows_as_there_are_frequent_phrases(spark, monkeypatch):
+    """All pairs are frequent and most longer windows are not: these must not be moved one by one."""
+    draw = random.Random(1)
+    rows = [(" ".join(draw.choice("abcdefghij") for _ in range(100)), "en") for _ in range(60)]
+    seen, whole = [], phrases.marginals
+
+    def watched(counted, longest):
+        seen.append(counted.count())
+        return whole(counted, longest)
+
+    monkeypatch.setattr(phrases, "marginals", watched)
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    assert got(phrases.mine(docs)) == plain(rows)
+    often = Counter(tuple(words[s : s + k]) for words in (r[0].split() for r in rows) for k in (1, 2, 3, 4) for s in range(len(words) - k + 1))
+    assert seen[0] <= sum(f >= 30 for f in often.values()) < 150
+
+
 def test_hot_phrase(spark):
     """A third of all rows hold one passage: it arrives once per chunk."""
     rows = [("the same passage again", "en")] * 400 + [(f"word{i} of its own", "en") for i in range(800)]
