@@ -12,7 +12,8 @@ are judged on the input.
    no repeated window is lost.
 3. The others are grouped exactly, by a 96-bit hash of all their words. A chunk sends each distinct
    window once, with its first place, so a passage in a third of all documents arrives as one row
-   per chunk; the answer is a bit: does the window start earlier in another chunk?
+   per chunk; the answer is a bit: does the window start earlier in another chunk? Claims are only
+   shuffled; what is stored are the answers, and each chunk's choice of windows, which comes along.
 4. Each chunk removes the covered words.
 
 NULL ids sort last; rows of equal id and text are ordered by where they lie, which cannot be seen
@@ -38,12 +39,15 @@ from pyspark.sql.types import StructType
 
 from stayrate.llm import sketch
 from stayrate.llm.scratch import Scratch, without
-from stayrate.llm.text import WordHashes, give_back, gram_hashes, packed, pieces, unpacked, utf8
+from stayrate.llm.text import WordHashes, give_back, gram_hashes, mixed, packed, pieces, unpacked, utf8
 
 CHUNK_BYTES = 2 << 20
+#: Text whose windows one task groups together; decides nothing else.
+SLICE_BYTES = 32 << 20
 ANCHOR_WORDS = 8
 LAST = np.iinfo(np.int64).max
 PASS = "kind int, chunk long, n long, depth int, slice long, payload binary"
+REPLIES = f"kind int, {sketch.FIELDS}"
 #: The columns that ``remove_repeats`` adds.
 RESULTS = ("n_words", "n_removed", "kept_sha256")
 
@@ -127,7 +131,11 @@ def claimed(payload: bytes) -> tuple[np.ndarray, ...]:
 
 
 def settle(rows: pa.Table) -> pa.Table:
-    """For one slice of windows: per claim a bit, 1 where the window starts earlier in another chunk."""
+    """For one slice of windows: per claim a bit, 1 where the window starts earlier in another chunk.
+    Rows of kind 0 are handed on as they are."""
+    choices, rows = (rows.filter(pc.equal(rows.column("kind"), k)) for k in (0, 1))
+    if not rows.num_rows:
+        return choices
     chunks = np.array(rows.column("chunk").to_pylist(), np.int64)
     parts = [claimed(p) for p in rows.column("payload").to_pylist()]
     sizes = [len(p[0]) for p in parts]
@@ -148,7 +156,8 @@ def settle(rows: pa.Table) -> pa.Table:
         left = left[np.lexsort((home[left], within[left], texts[left], ids[left], b[left], a[left]))]
         late[left] = ~np.r_[True, (a[left][1:] != a[left][:-1]) | (b[left][1:] != b[left][:-1])]
     bits = [zstandard.compress(np.packbits(x).tobytes()) for x in np.split(late, np.cumsum(sizes)[:-1])]
-    return rows.set_column(rows.schema.get_field_index("payload"), "payload", pa.array(bits, pa.binary()))
+    rows = rows.set_column(rows.schema.get_field_index("payload"), "payload", pa.array(bits, pa.binary()))
+    return pa.concat_tables([choices, rows.cast(choices.schema)])
 
 
 def removed_words(words: Words, mask: np.ndarray, answers: pa.Table, bits: int) -> np.ndarray:
@@ -188,7 +197,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     # the estimate sizes the sketch and decides nothing else.
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     shape = sketch.Shape(total // 30 + 1, 16)
-    bits = max(0, int(total // (32 << 20)).bit_length())
+    bits = max(0, int(total // SLICE_BYTES).bit_length())
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, base = WordHashes(), TaskContext.get().partitionId() << 32
@@ -205,7 +214,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
             keys, at = words.anchor_keys()
             chosen = sketch.estimates(keys, answers, shape)[at] > 1 if len(keys) else np.zeros(0, bool)
             chunk = rows.column("chunk")[0].as_py()
-            out.append((0, chunk, None, None, None, zstandard.compress(np.packbits(chosen).tobytes())))
+            home = int(mixed(np.array([chunk], np.uint64))[0] >> np.uint64(32)) % (1 << bits)
+            out.append((0, chunk, None, None, home, zstandard.compress(np.packbits(chosen).tobytes())))
             out += [(1, c, None, d, s, p) for c, d, s, p in claims(chunk, words, np.flatnonzero(chosen), bits)]
         return pa.Table.from_batches([table(schema, out)], schema)
 
@@ -233,15 +243,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     answers = sketch.merge(sketch.only(first, 1).select("chunk", "depth", "slice", "payload"), shape)
     bodies = sketch.only(first, 0).select("chunk", "payload")
     # A chunk without windows has asked nothing: the cogroup still brings it.
-    second = scratch.store(
-        bodies.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(choose, PASS), "claims"
-    )
-    asked = sketch.only(second, 1)
-    late = asked.select("chunk", "depth", "slice", "payload").groupBy("slice").applyInArrow(
-        settle, sketch.FIELDS
-    )
-    replies = sketch.only(second, 0).select(F.lit(0).alias("kind"), "chunk", "depth", "slice", "payload").union(
-        late.select(F.lit(1).alias("kind"), "chunk", "depth", "slice", "payload")
-    )
+    asked = bodies.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(choose, PASS)
+    settled = asked.select("kind", "chunk", "depth", "slice", "payload").groupBy("slice").applyInArrow(settle, REPLIES)
+    replies = scratch.store(settled, "replies")
+    # What the passes so far have shuffled is not read again.
+    scratch.release()
     out = StructType([*docs.schema.fields, *StructType.fromDDL(", ".join(f"{n} {'string' if n.endswith('256') else 'long'}" for n in RESULTS)).fields])
     return bodies.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(finish, out)

@@ -37,6 +37,30 @@ def test_small_chunks_give_the_same(edges, monkeypatch):
     assert got(substring.remove_repeats(edges)) == plain(edge_rows(), 20)
 
 
+def test_many_slices_give_the_same(spark, monkeypatch):
+    """Slices without claims, which hand on choices only, and slices that no choice passes."""
+    rows = [(i, " ".join(f"w{i % 7}x{k}" for k in range(25)) + f" end{i}") for i in range(30)] + [(None, "few words"), (40, None)]
+    monkeypatch.setattr(substring, "CHUNK_BYTES", 300)
+    monkeypatch.setattr(substring, "SLICE_BYTES", 100)
+    assert got(substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))) == plain(rows, 20)
+
+
+def test_claims_are_not_stored(spark, monkeypatch):
+    """Claims are many; between passes only the chunks and the answers are written to disk."""
+    stored, store = [], substring.Scratch.store
+
+    def watched(self, df, name):
+        stored.append((name, store(self, df, name)))
+        return stored[-1][1]
+
+    monkeypatch.setattr(substring.Scratch, "store", watched)
+    rows = [(i, " ".join(f"w{k}" for k in range(2000))) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(substring.remove_repeats(docs)) == plain(rows, 20)
+    sizes = {name: df.agg(F.sum(F.length("payload"))).first()[0] for name, df in stored}
+    assert [*sizes] == ["windows", "replies"] and sizes["replies"] < 2000
+
+
 def test_extra_and_clashing_columns(edges):
     clash = edges.withColumns({"N_Words": F.lit("x"), "chunk": F.lit(1), "payload": F.lit(b"x"), "kind": F.lit(3)})
     out = substring.remove_repeats(clash)
